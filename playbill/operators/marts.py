@@ -1,6 +1,6 @@
 """Derived tables and views over the wide table."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill import fixed_values as V
@@ -69,18 +69,16 @@ def tv_series(df: DataFrame) -> DataFrame:
     return df.filter(F.col("title_type") == "tvSeries")
 
 
-def recent_popular(df: DataFrame, as_of_year: int) -> DataFrame:
-    """Titles of the last years with more than a handful of votes."""
-    recent = years_between(df, first=as_of_year - V.RECENT_YEARS)
+def recent_popular(df: DataFrame, as_of_year: int | None = None) -> DataFrame:
+    """Titles of the last years with more than a handful of votes; by default as of today."""
+    this_year = F.year(F.current_date()) if as_of_year is None else F.lit(as_of_year)
+    recent = years_between(df, first=this_year - V.RECENT_YEARS)
     return recent.filter(F.col("num_votes") > V.RECENT_MIN_VOTES)
 
 
-def current_year(spark: SparkSession) -> int:
-    """The session's current year, for callers that do not fix one."""
-    return spark.range(1).select(F.year(F.current_date())).first()[0]
-
-
-def register_views(df: DataFrame, as_of_year: int, prefix: str = "") -> list[str]:
+def register_views(
+    df: DataFrame, as_of_year: int | None = None, prefix: str = ""
+) -> list[str]:
     """Register the wide table and its three views for SQL; returns the view names."""
     views = {
         "titles": df,

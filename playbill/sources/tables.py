@@ -1,6 +1,6 @@
 """The stored tables: lake, serving table and what lies in their folders."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill.functions import decade, readable_size
@@ -26,8 +26,10 @@ def read_by_genre(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("genre", F.coalesce("genre", F.lit("")))
 
 
-def years_between(df: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Keep the years ``first..last`` (either may be open).
+def years_between(
+    df: DataFrame, first: int | Column | None = None, last: int | Column | None = None
+) -> DataFrame:
+    """Keep the years ``first..last`` (either may be open, or a constant expression).
 
     Where the frame has a ``decade`` column the matching decade predicate is added, because
     Spark cannot derive it from the year predicate and would open every decade folder.

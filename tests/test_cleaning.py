@@ -1,0 +1,181 @@
+import random
+
+import pytest
+from conftest import AS_OF_YEAR
+from pyspark.sql import functions as F
+
+from playbill.functions import lenient_float, lenient_int
+from playbill.operators import cleaning as C
+from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
+
+
+def by_key(df):
+    return {row["tconst"]: row for row in df.collect()}
+
+
+def test_titles_keep_valid_unique_rows(titles_raw):
+    rows = C.clean_titles(titles_raw, AS_OF_YEAR).collect()
+    assert sorted(r["tconst"] for r in rows) == [f"tt000000{i}" for i in range(1, 6)]
+
+
+def test_titles_are_renamed_and_typed(titles_raw):
+    cleaned = C.clean_titles(titles_raw, AS_OF_YEAR)
+    assert cleaned.columns == ENRICHED.fieldNames()[:9]
+    row = by_key(cleaned)["tt0000001"]
+    assert row["start_year"] == 1894 and isinstance(row["start_year"], int)
+    assert row["runtime_minutes"] == 1 and row["end_year"] is None
+    assert by_key(cleaned)["tt0000004"]["end_year"] == 2013
+
+
+def test_missing_genres_become_unknown(titles_raw):
+    assert by_key(C.clean_titles(titles_raw, AS_OF_YEAR))["tt0000005"]["genres"] == "Unknown"
+
+
+@pytest.mark.parametrize("year, kept", [("1874", 1), ("1873", 0), ("2031", 1), ("2032", 0)])
+def test_year_bounds(spark, year, kept):
+    row = ("tt1", "movie", "a", "a", "0", year, None, None, None)
+    df = spark.createDataFrame([row], RAW_TITLES)
+    assert C.clean_titles(df, AS_OF_YEAR).count() == kept
+
+
+def test_missing_year_is_kept(spark):
+    rows = [
+        ("tt1", "movie", "a", "a", "0", None, None, None, None),
+        ("tt2", "movie", "a", "a", "0", "not a year", None, None, None),
+    ]
+    cleaned = C.clean_titles(spark.createDataFrame(rows, RAW_TITLES), AS_OF_YEAR)
+    assert [r["start_year"] for r in cleaned.collect()] == [None, None]
+
+
+def test_ratings_keep_valid_rows(ratings_raw):
+    rows = by_key(C.clean_ratings(ratings_raw))
+    assert sorted(rows) == [f"tt000000{i}" for i in range(1, 6)]
+    assert rows["tt0000004"]["average_rating"] == pytest.approx(9.5)
+    assert rows["tt0000004"]["num_votes"] == 1_800_000
+
+
+def test_ratings_edge_values(spark):
+    rows = [
+        ("tt1", "NaN", "5"),
+        ("tt2", "Infinity", "5"),
+        ("tt3", "0.0", "1"),
+        ("tt4", "10.0", "1"),
+        ("tt5", None, "7"),
+        ("tt6", "8.0", None),
+        ("tt7", "good", "many"),
+    ]
+    cleaned = by_key(C.clean_ratings(spark.createDataFrame(rows, RAW_RATINGS)))
+    assert sorted(cleaned) == ["tt3", "tt4", "tt5", "tt6", "tt7"]
+    assert cleaned["tt7"]["average_rating"] is None and cleaned["tt7"]["num_votes"] is None
+
+
+def test_episodes(episodes_raw):
+    rows = by_key(C.clean_episodes(episodes_raw))
+    assert len(rows) == 4
+    first = rows["tt0000005"]
+    assert (first["parent_tconst"], first["season_number"], first["episode_number"]) == (
+        "tt0000004",
+        1,
+        1,
+    )
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_lenient_casts(spark, ansi):
+    texts = ["12", " 12 ", "-3", "9.7", "-9.7", "9.", "abc", "", None, "99999999999", "1e3", "1.2.3"]
+    whole = [12, 12, -3, 9, -9, 9, None, None, None, None, None, None]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
+        assert [r[0] for r in df.select(lenient_int("t")).collect()] == whole
+        floats = [r[0] for r in df.select(lenient_float("t")).collect()]
+        assert floats[3] == pytest.approx(9.7) and floats[6] is None and floats[11] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_dedupe_picks_the_smallest_row_with_nulls_first(spark):
+    rows = [("a", "x", 2), ("a", None, 9), ("a", "x", None), ("b", "z", 1), ("b", "y", 5)]
+    df = spark.createDataFrame(rows, "tconst string, t string, n int")
+    assert sorted(map(tuple, C.dedupe_by_key(df).collect())) == [("a", None, 9), ("b", "y", 5)]
+
+
+def test_dedupe_equals_brute_force_and_is_stable_under_skew(spark):
+    rng = random.Random(7)
+    rows = [
+        (
+            "hot" if rng.random() < 0.4 else f"k{rng.randrange(300)}",
+            rng.choice([None, "p", "q", "r"]),
+            rng.choice([None, 1, 2, 3]),
+            rng.choice([None, 0.5, 1.5]),
+        )
+        for _ in range(5000)
+    ]
+
+    best = {}
+    for row in rows:
+        order = tuple((0,) if v is None else (1, v) for v in row[1:])
+        if row[0] not in best or order < best[row[0]][0]:
+            best[row[0]] = (order, row)
+    expected = sorted((row for _, row in best.values()), key=lambda r: r[0])
+
+    df = spark.createDataFrame(rows, "tconst string, t string, n int, x double")
+    for parts in (1, 13):
+        found = C.dedupe_by_key(df.repartition(parts)).collect()
+        assert sorted(map(tuple, found), key=lambda r: r[0]) == expected
+
+
+def test_enrich_keeps_every_title(enriched):
+    assert enriched.columns == ENRICHED.fieldNames()
+    assert [f.dataType for f in enriched.schema] == [f.dataType for f in ENRICHED]
+    rows = by_key(enriched)
+    assert len(rows) == 5
+    assert rows["tt0000003"]["parent_tconst"] is None
+    assert rows["tt0000003"]["season_number"] is None
+    assert rows["tt0000005"]["parent_tconst"] == "tt0000004"
+
+
+def test_unmatched_titles_have_no_rating(spark, titles_raw, episodes_raw):
+    none = C.clean_ratings(spark.createDataFrame([], RAW_RATINGS))
+    wide = C.enrich(C.clean_titles(titles_raw, AS_OF_YEAR), none, C.clean_episodes(episodes_raw))
+    assert [r["average_rating"] for r in wide.collect()] == [None] * 5
+
+
+def test_conform_adds_and_orders_columns(spark):
+    df = spark.createDataFrame([(1995, "tt1", "x")], "start_year long, tconst string, extra string")
+    conformed = C.conform(df)
+    assert conformed.columns == ENRICHED.fieldNames()
+    row = conformed.first()
+    assert row["start_year"] == 1995 and row["num_votes"] is None
+    assert conformed.schema["start_year"].dataType == ENRICHED["start_year"].dataType
+
+
+def test_serving_nulls(spark):
+    rows = [("tt1", None, None, None, None), ("tt2", "movie", "a", "b", ""), ("tt3", "m", "a", "b", "X")]
+    df = spark.createDataFrame(
+        rows,
+        "tconst string, title_type string, primary_title string, original_title string,"
+        " genres string",
+    )
+    found = {r["tconst"]: tuple(r)[1:] for r in C.serving_nulls(df).collect()}
+    assert found == {
+        "tt1": ("", "", "", "Unknown"),
+        "tt2": ("movie", "a", "b", "Unknown"),
+        "tt3": ("m", "a", "b", "X"),
+    }
+
+
+def test_joins_reuse_the_shuffle_of_the_dedupe(spark, enriched):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = enriched.filter(F.lit(True))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(tconst") == 3
+    assert plan.count("Exchange") == 3
+    assert plan.count("SortMergeJoin") == 2
+    # one sort before and one after each shuffle, none for the joins
+    assert plan.count("Sort [tconst") == 6
