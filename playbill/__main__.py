@@ -39,7 +39,7 @@ def main():
         outcome = build_lake(
             spark, args.raw, args.lake, args.as_of_year, suffix=".gz" if args.gz else ""
         )
-        print(f"read {outcome.rows_read}, wrote {outcome.rows}")
+        print(f"read {outcome.rows_read}, kept {outcome.rows_kept}, wrote {outcome.rows}")
         outcome.summary.show()
         outcome.types.show()
     elif args.job == "load":

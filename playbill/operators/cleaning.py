@@ -9,6 +9,8 @@ from playbill import fixed_values as V
 from playbill.functions import in_range_or_null, lenient_float, lenient_int, positive_or_null
 from playbill.schemas import ENRICHED
 
+KEY_HASH = "_key_hash"
+
 
 def typed_titles(raw: DataFrame) -> DataFrame:
     """Rename and cast the title columns; nothing is filtered."""
@@ -60,35 +62,39 @@ def fill_default(df: DataFrame, column: str, default) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
-def dedupe_by_key(df: DataFrame, key: str = "tconst") -> DataFrame:
+def dedupe_by_key(df: DataFrame, key: str = "tconst", keep_hash: bool = False) -> DataFrame:
     """One row per key: the smallest one by all other columns in order, nulls first.
 
     ``dropDuplicates`` would keep whichever row arrives first and so change from run to run.
     As an aggregate the choice is fixed, and copies of a hot key collapse in the map tasks
-    before the shuffle.
+    before the shuffle. Grouping by the key's hash as well lets the sorts below the aggregate
+    compare numbers instead of texts; ``keep_hash`` passes it on to joins.
     """
     rest = [c for c in df.columns if c != key]
-    chosen = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("row"))
-    return chosen.select(key, "row.*").select(df.columns)
+    chosen = df.groupBy(F.xxhash64(key).alias(KEY_HASH), key).agg(
+        F.min(F.struct(*rest)).alias("row")
+    )
+    unpacked = chosen.select(KEY_HASH, key, "row.*")
+    return unpacked.select([KEY_HASH, *df.columns] if keep_hash else df.columns)
 
 
-def clean_titles(raw: DataFrame, as_of_year: int) -> DataFrame:
+def clean_titles(raw: DataFrame, as_of_year: int, keep_hash: bool = False) -> DataFrame:
     """Typed titles with a valid key and year, unique, genres never null."""
     rows = require_key(typed_titles(raw), prefix=V.KEY_PREFIX)
     rows = keep_in_range(rows, "start_year", V.FIRST_YEAR, as_of_year + V.YEARS_AHEAD)
-    return fill_default(dedupe_by_key(rows), "genres", V.UNKNOWN_GENRE)
+    return fill_default(dedupe_by_key(rows, keep_hash=keep_hash), "genres", V.UNKNOWN_GENRE)
 
 
-def clean_ratings(raw: DataFrame) -> DataFrame:
+def clean_ratings(raw: DataFrame, keep_hash: bool = False) -> DataFrame:
     """Typed ratings within bounds and with votes, unique."""
     rows = require_key(typed_ratings(raw))
     rows = keep_in_range(rows, "average_rating", V.LOWEST_RATING, V.HIGHEST_RATING)
-    return dedupe_by_key(rows.filter(positive_or_null("num_votes")))
+    return dedupe_by_key(rows.filter(positive_or_null("num_votes")), keep_hash=keep_hash)
 
 
-def clean_episodes(raw: DataFrame) -> DataFrame:
+def clean_episodes(raw: DataFrame, keep_hash: bool = False) -> DataFrame:
     """Typed episodes, unique."""
-    return dedupe_by_key(require_key(typed_episodes(raw)))
+    return dedupe_by_key(require_key(typed_episodes(raw)), keep_hash=keep_hash)
 
 
 def conform(df: DataFrame, schema=ENRICHED) -> DataFrame:
@@ -112,14 +118,20 @@ def serving_nulls(df: DataFrame) -> DataFrame:
 
 
 def left_join_all(left: DataFrame, *others: DataFrame, key: str = "tconst") -> DataFrame:
-    """Left-join frames that are unique on ``key``; the left row count is kept."""
-    return reduce(lambda acc, other: acc.join(other, key, "left"), others, left)
+    """Left-join frames that are unique on ``key``; the left row count is kept.
+
+    Where all frames carry the hash of their dedupe, it joins too: they are then already
+    partitioned and sorted as the joins need them, and nothing is shuffled again.
+    """
+    hashed = all(KEY_HASH in df.columns for df in (left, *others))
+    on = [KEY_HASH, key] if hashed else [key]
+    joined = reduce(lambda acc, other: acc.join(other, on, "left"), others, left)
+    return joined.drop(KEY_HASH)
 
 
 def enrich(titles: DataFrame, ratings: DataFrame, episodes: DataFrame) -> DataFrame:
     """The wide table: one row per title with its rating and episode data.
 
-    All three inputs leave their dedupe hash-partitioned and sorted on the key, so the joins
-    need no further shuffle.
+    Pass frames cleaned with ``keep_hash`` to spare two shuffles; the result is the same.
     """
     return left_join_all(titles, ratings, episodes).select(ENRICHED.fieldNames())

@@ -38,9 +38,7 @@ def _sort_columns(order):
     return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc() for n in order]
 
 
-def _finish(df, digits, having, order, limit):
-    for name, places in (digits or {}).items():
-        df = df.withColumn(name, half_even(name, places))
+def _finish(df, having, order, limit):
     if having is not None:
         df = df.filter(having)
     if order:
@@ -54,8 +52,11 @@ def _column(c):
     return c() if callable(c) and not isinstance(c, Column) else c
 
 
-def _aliased(spec: Spec):
-    return [_column(c).alias(name) for name, c in spec.items()]
+def _aliased(spec: Spec, digits: Mapping[str, int] | None = None):
+    columns = {name: _column(c) for name, c in spec.items()}
+    for name in set(digits or ()) & set(columns):
+        columns[name] = half_even(columns[name], digits[name])
+    return [c.alias(name) for name, c in columns.items()]
 
 
 def grouped(
@@ -75,8 +76,9 @@ def grouped(
     ``hidden`` measures serve ``having`` and ``order`` only.
     """
     picked = _select_rows(df, where, years)
-    summed = picked.groupBy(*_aliased(keys)).agg(*_aliased(measures))
-    return _finish(summed, digits, having, order, limit).drop(*hidden)
+    summed = picked.groupBy(*_aliased(keys)).agg(*_aliased(measures, digits))
+    finished = _finish(summed, having, order, limit)
+    return finished.drop(*hidden) if hidden else finished
 
 
 def distribution(
@@ -97,11 +99,10 @@ def distribution(
     """
     picked = _select_rows(df, where, years)
     total = picked.agg(rows().alias("total")).scalar()
-    counted = picked.groupBy(*_aliased(keys)).agg(*_aliased({count_name: rows(), **measures}))
-    shared = counted.select(
-        *keys, count_name, percent_of(count_name, total).alias(share_name), *measures
-    )
-    return _finish(shared, digits, None, order, None)
+    share = percent_of(rows(), total)
+    every = {count_name: rows, share_name: share, **measures}
+    shared = picked.groupBy(*_aliased(keys)).agg(*_aliased(every, digits))
+    return _finish(shared, None, order, None)
 
 
 def top_k(
@@ -206,8 +207,8 @@ def child_rollup(
     if mean_of:
         measures[mean_of[0]] = F.try_divide(F.sum("total"), F.sum("known"))
     joined = parent_rows.join(per_parent, "parent")
-    summed = joined.groupBy(*group).agg(*_aliased(measures))
-    return _finish(summed, digits, having, order, limit)
+    summed = joined.groupBy(*group).agg(*_aliased(measures, digits))
+    return _finish(summed, having, order, limit)
 
 
 def period_change(
@@ -217,23 +218,20 @@ def period_change(
     change_name: str,
     percent_name: str,
     where=None,
-    period: str = "start_year",
     digits: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Rows per year with the change from the year before it that has rows.
+    """Rows per start year with the change from the year before it that has rows.
 
     The first year's change is its own count, its percentage is null. The window runs over
     the yearly counts only: at most ``last - first + 1`` rows.
     """
-    counted = _select_rows(df, where, years).groupBy(period).agg(rows().alias(count_name))
-    before = F.lag(count_name, 1, 0).over(Window.orderBy(period))
-    changed = counted.withColumn("before", before).select(
-        period,
-        count_name,
-        (F.col(count_name) - F.col("before")).alias(change_name),
-        percent_of(F.col(count_name) - F.col("before"), "before").alias(percent_name),
-    )
-    return _finish(changed, digits, None, [period], None)
+    picked = _select_rows(df, where, years)
+    counted = picked.groupBy("start_year").agg(rows().alias(count_name))
+    before = F.lag(count_name, 1, 0).over(Window.orderBy("start_year"))
+    change = F.col(count_name) - before
+    changes = {change_name: change, percent_name: percent_of(change, before)}
+    changed = counted.select("start_year", count_name, *_aliased(changes, digits))
+    return changed.orderBy("start_year")
 
 
 def histogram(

@@ -23,13 +23,19 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _cleaned(titles, ratings, episodes, as_of_year):
+    return (
+        clean_titles(titles, as_of_year, keep_hash=True),
+        clean_ratings(ratings, keep_hash=True),
+        clean_episodes(episodes, keep_hash=True),
+    )
+
+
 def wide_table(
     titles: DataFrame, ratings: DataFrame, episodes: DataFrame, as_of_year: int
 ) -> DataFrame:
     """Raw frames to the wide table: clean each, join all. Lazy."""
-    return enrich(
-        clean_titles(titles, as_of_year), clean_ratings(ratings), clean_episodes(episodes)
-    )
+    return enrich(*_cleaned(titles, ratings, episodes, as_of_year))
 
 
 @dataclass(frozen=True)
@@ -37,6 +43,7 @@ class LakeOutcome:
     """What a lake run saw; ``summary`` and ``types`` are lazy frames over the written lake."""
 
     rows_read: dict[str, int]
+    rows_kept: dict[str, int]
     rows: int
     summary: DataFrame
     types: DataFrame
@@ -47,11 +54,15 @@ def build_lake(
 ) -> LakeOutcome:
     """Read, clean, join and write in one pass over the input, without caching."""
     names = ("titles", "ratings", "episodes")
-    raw = [counted(df, n) for df, n in zip(read_raw(spark, raw_folder, suffix), names)]
-    write_lake(wide_table(*[df for df, _ in raw], as_of_year), lake)
+    raw = read_raw(spark, raw_folder, suffix)
+    raw, read = zip(*[counted(df, f"{n} read") for df, n in zip(raw, names)])
+    cleaned = _cleaned(*raw, as_of_year)
+    cleaned, kept = zip(*[counted(df, f"{n} kept") for df, n in zip(cleaned, names)])
+    write_lake(enrich(*cleaned), lake)
     written = read_lake(spark, lake)
     return LakeOutcome(
-        rows_read={n: seen.get["rows"] for n, (_, seen) in zip(names, raw)},
+        rows_read={n: seen.get["rows"] for n, seen in zip(names, read)},
+        rows_kept={n: seen.get["rows"] for n, seen in zip(names, kept)},
         rows=written.count(),
         summary=summary(written),
         types=type_summary(written),

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ def build_session(app: str = "playbill", **settings: str) -> SparkSession:
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.sql.session.timeZone": "UTC",
     }
@@ -44,11 +46,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="playbill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    return None
+    return _local_folder() if spark.sparkContext.master.startswith("local") else None
+
+
+@cache
+def _local_folder():
+    return tempfile.mkdtemp(prefix="playbill-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -517,8 +517,20 @@ select rule, cast(violations as bigint) as violations from (
     union all
     select 'key_unique', count(*) - count(distinct tconst) from ratings_typed
 ) found
+""",
+    "snk_view_sql": f"""
+select title_type, count(*) as cnt, {_RATING} as avg_rating from wide group by title_type
 """,
     "job_lake_and_load": _ROLLUP,
+    "job_row_counts": """
+select 'titles read' as step, count(*) as "rows" from titles_raw
+union all select 'ratings read', count(*) from ratings_raw
+union all select 'episodes read', count(*) from episodes_raw
+union all select 'titles kept', count(*) from titles
+union all select 'ratings kept', count(*) from ratings
+union all select 'episodes kept', count(*) from episodes
+union all select 'wide', count(*) from wide
+""",
 }
 
 ORACLE = {name: _sql(body) for name, body in {**_REPORTS, **_STEPS_AND_TABLES}.items()}

@@ -145,8 +145,8 @@ def serving_nulls(spark, sf_dir):
 
 def titles_ratings(spark, sf_dir):
     return cleaning.left_join_all(
-        cleaning.clean_titles(raw_titles(spark, sf_dir), AS_OF_YEAR),
-        cleaning.clean_ratings(raw_ratings(spark, sf_dir)),
+        cleaning.clean_titles(raw_titles(spark, sf_dir), AS_OF_YEAR, keep_hash=True),
+        cleaning.clean_ratings(raw_ratings(spark, sf_dir), keep_hash=True),
     )
 
 
@@ -199,17 +199,40 @@ def raw_rating_rules(spark, sf_dir):
     return quality.quality_report(cleaning.typed_ratings(raw_ratings(spark, sf_dir)), rules)
 
 
-def lake_and_load(spark, sf_dir):
+def view_sql(spark, sf_dir):
+    prefix = f"v{uuid.uuid4().hex}_"
+    marts.register_views(serving(spark, sf_dir), AS_OF_YEAR, prefix)
+    return spark.sql(
+        f"""
+        select title_type, count(*) as cnt, avg(cast(average_rating as double)) as avg_rating
+        from {prefix}titles group by title_type
+        """
+    )
+
+
+def _built_lake(spark, sf_dir):
     raw = fresh_path(spark, "raw")
     names = (V.TITLES_FILE, V.RATINGS_FILE, V.EPISODES_FILE)
     for frame, name in zip(raw_frames(spark, sf_dir), names):
         write_delimited(frame, f"{raw}/{name}")
-    lake, table, rollup = (fresh_path(spark, x) for x in ("lake", "serving", "rollup"))
-    build_lake(spark, raw, lake, AS_OF_YEAR)
+    lake = fresh_path(spark, "lake")
+    return lake, build_lake(spark, raw, lake, AS_OF_YEAR)
+
+
+def lake_and_load(spark, sf_dir):
+    lake, _ = _built_lake(spark, sf_dir)
+    table, rollup = (fresh_path(spark, x) for x in ("serving", "rollup"))
     load_serving(spark, lake, table, rollup)
     return read_rollup(spark, rollup)
 
 
+def row_counts(spark, sf_dir):
+    _, outcome = _built_lake(spark, sf_dir)
+    counts = [(f"{n} read", c) for n, c in outcome.rows_read.items()]
+    counts += [(f"{n} kept", c) for n, c in outcome.rows_kept.items()]
+    return spark.createDataFrame([*counts, ("wide", outcome.rows)], "step string, rows long")
+
+
 STEPS = {
     "src_delimited_roundtrip": delimited_roundtrip,
     "src_gzip_roundtrip": gzip_roundtrip,
@@ -265,5 +288,7 @@ STEPS = {
     ),
     "dq_raw_titles": raw_title_rules,
     "dq_raw_ratings": raw_rating_rules,
+    "snk_view_sql": view_sql,
     "job_lake_and_load": lake_and_load,
+    "job_row_counts": row_counts,
 }

@@ -2,10 +2,10 @@ import random
 
 import pytest
 from conftest import AS_OF_YEAR
-from pyspark.sql import functions as F
 
 from playbill.functions import lenient_float, lenient_int
 from playbill.operators import cleaning as C
+from playbill.plans.pipeline import wide_table
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
 
 
@@ -166,16 +166,22 @@ def test_serving_nulls(spark):
     }
 
 
-def test_joins_reuse_the_shuffle_of_the_dedupe(spark, enriched):
+def test_joins_reuse_the_shuffle_of_the_dedupe(spark, titles_raw, ratings_raw, episodes_raw):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = enriched.filter(F.lit(True))
+        df = wide_table(titles_raw, ratings_raw, episodes_raw, AS_OF_YEAR)
         plan = df._jdf.queryExecution().executedPlan().toString()
+        joined = df.collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert plan.count("Exchange hashpartitioning(tconst") == 3
-    assert plan.count("Exchange") == 3
+    assert plan.count("Exchange hashpartitioning(") == plan.count("Exchange") == 3
     assert plan.count("SortMergeJoin") == 2
     # one sort before and one after each shuffle, none for the joins
-    assert plan.count("Sort [tconst") == 6
+    assert plan.count("Sort [") == 6
+    assert df.columns == ENRICHED.fieldNames() and len(joined) == 5
+
+
+def test_hash_is_kept_on_request_only(ratings_raw):
+    assert C.clean_ratings(ratings_raw).columns == ["tconst", "average_rating", "num_votes"]
+    assert C.clean_ratings(ratings_raw, keep_hash=True).columns[0] == C.KEY_HASH

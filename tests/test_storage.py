@@ -1,5 +1,6 @@
 import gzip
 import os
+from types import SimpleNamespace
 
 import pytest
 from conftest import AS_OF_YEAR, EPISODE_ROWS, RATING_ROWS, TITLE_ROWS
@@ -102,6 +103,7 @@ def test_jobs_end_to_end(spark, tmp_path):
 
     outcome = build_lake(spark, str(raw), lake, AS_OF_YEAR)
     assert outcome.rows_read == {"titles": 9, "ratings": 8, "episodes": 4}
+    assert outcome.rows_kept == {"titles": 5, "ratings": 5, "episodes": 4}
     assert outcome.rows == 5
     summary = outcome.summary.first()
     assert (summary["min_year"], summary["max_year"]) == (1892, 2008)
@@ -318,6 +320,19 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     )
 
 
+@pytest.mark.parametrize("master, given", [("local[2]", True), ("yarn", False)])
+def test_only_local_sessions_fall_back_to_a_temporary_folder(master, given):
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+    folder = shared_folder(bare)
+    assert (folder is not None) == given and folder == shared_folder(bare)
+    if not given:
+        with pytest.raises(ValueError):
+            fresh_path(bare, "x")
+
+
 def test_shuffles_are_sized_by_the_input(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"x" * 1000)
     name = "spark.sql.shuffle.partitions"
