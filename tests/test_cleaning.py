@@ -23,7 +23,7 @@ def test_titles_are_renamed_and_typed(titles_raw):
     assert cleaned.columns == ENRICHED.fieldNames()[:9]
     row = by_key(cleaned)["tt0000001"]
     assert row["start_year"] == 1894 and isinstance(row["start_year"], int)
-    assert row["runtime_minutes"] == 1 and row["end_year"] is None
+    assert row["runtime_minutes"] == 2 and row["end_year"] is None
     assert by_key(cleaned)["tt0000004"]["end_year"] == 2013
 
 
