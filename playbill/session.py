@@ -31,7 +31,8 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     Adaptive execution merges small partitions but cannot split those of an aggregation, so a
     large input needs enough of them from the start. Only file sizes are read.
     """
-    sizes = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    sizes = files.load(list(paths)).agg(F.sum("length")).first()[0] or 0
     parallelism = spark.sparkContext.defaultParallelism
     count = max(parallelism, -(-sizes // SHUFFLE_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))

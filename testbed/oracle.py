@@ -414,7 +414,7 @@ from wide
 select l_orderkey, l_linenumber, cast(trunc(l_extendedprice) as integer) as whole_price
 from lineitem
 """,
-    "cln_key_prefix": "select * from episodes_typed where tconst like 'tt3%'",
+    "cln_key_prefix": "select * from titles_typed where genres like 'Drama%'",
     "cln_nullable_range": """
 select * from ratings_typed where average_rating is null or average_rating between 0.0 and 10.0
 """,

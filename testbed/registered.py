@@ -252,7 +252,7 @@ STEPS = {
     "cln_rename_cast": lambda spark, sf: cleaning.typed_titles(raw_titles(spark, sf)),
     "cln_lenient_int": lenient_int,
     "cln_key_prefix": lambda spark, sf: cleaning.require_key(
-        cleaning.typed_episodes(raw_episodes(spark, sf)), prefix="tt3"
+        cleaning.typed_titles(raw_titles(spark, sf)), key="genres", prefix="Drama"
     ),
     "cln_nullable_range": lambda spark, sf: cleaning.keep_in_range(
         cleaning.typed_ratings(raw_ratings(spark, sf)), "average_rating", 0.0, 10.0

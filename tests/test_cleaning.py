@@ -5,7 +5,7 @@ from conftest import AS_OF_YEAR
 
 from playbill.functions import lenient_float, lenient_int
 from playbill.operators import cleaning as C
-from playbill.plans.pipeline import wide_table
+from playbill.plans.pipeline import counted, wide_table
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
 
 
@@ -182,6 +182,22 @@ def test_joins_reuse_the_shuffle_of_the_dedupe(spark, titles_raw, ratings_raw, e
     assert df.columns == ENRICHED.fieldNames() and len(joined) == 5
 
 
+def test_counting_rows_does_not_add_a_shuffle(spark, titles_raw, ratings_raw, episodes_raw):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cleaned = (
+            C.clean_titles(titles_raw, AS_OF_YEAR, keep_hash=True),
+            C.clean_ratings(ratings_raw, keep_hash=True),
+            C.clean_episodes(episodes_raw, keep_hash=True),
+        )
+        df = C.enrich(*[counted(c, f"kept {i}")[0] for i, c in enumerate(cleaned)])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange") == 3 and plan.count("CollectMetrics") == 3
+
+
 def test_hash_is_kept_on_request_only(ratings_raw):
     assert C.clean_ratings(ratings_raw).columns == ["tconst", "average_rating", "num_votes"]
     assert C.clean_ratings(ratings_raw, keep_hash=True).columns[0] == C.KEY_HASH

@@ -335,10 +335,15 @@ def test_only_local_sessions_fall_back_to_a_temporary_folder(master, given):
 
 def test_shuffles_are_sized_by_the_input(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"x" * 1000)
+    (tmp_path / "folder").mkdir()
+    with open(tmp_path / "folder" / "b", "wb") as sparse:
+        sparse.truncate(100 * 128 * 1024 * 1024 - 999)
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
     try:
-        assert size_shuffles(spark, str(tmp_path)) == spark.sparkContext.defaultParallelism
-        assert spark.conf.get(name) == str(spark.sparkContext.defaultParallelism)
+        small = spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, str(tmp_path / "a")) == small
+        assert spark.conf.get(name) == str(small)
+        assert size_shuffles(spark, str(tmp_path)) == 101
     finally:
         spark.conf.set(name, before)
