@@ -1,9 +1,9 @@
 """Session settings and the folder for intermediate tables."""
 
-import tempfile
+import atexit
 import uuid
-from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -39,25 +39,36 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return count
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, for this application's intermediate tables.
 
-    Where it is unset, a local session gets a temporary folder and a cluster session none.
+    It lies in ``spark.checkpoint.dir``, or in the warehouse folder where that is unset: both
+    are shared by the driver and all executors.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    return _local_folder() if spark.sparkContext.master.startswith("local") else None
-
-
-@cache
-def _local_folder():
-    return tempfile.mkdtemp(prefix="playbill-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/playbill/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path for an intermediate table in the shared folder."""
     folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{folder}/playbill/{label}-{uuid.uuid4().hex}"
+    if folder not in _cleared_at_exit:
+        _cleared_at_exit.add(folder)
+        atexit.register(_remove, SparkContext._jvm, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_intermediates(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; call it before stopping the session."""
+    _remove(spark._jvm, shared_folder(spark))
+
+
+_cleared_at_exit: set[str] = set()
+
+
+def _remove(jvm, folder):
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # the gateway is gone: the folder stays, named after the application
+        return
