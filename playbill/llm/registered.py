@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from playbill.llm import fingerprints, packing, piece_codec
+from playbill.llm import fingerprints, packing, piece_codec, quality_model, rule_cascade
 from playbill.llm.support import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,6 +13,11 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op2_factorisation(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_model.score(docs, quality_model.train(docs, labels))
+
+
 def op4_simhash(spark, sf_dir):
     found = fingerprints.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -22,9 +27,15 @@ def op8_sentencepiece(spark, sf_dir):
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+def op10_rules(spark, sf_dir):
+    return rule_cascade.apply_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_factorisation": op2_factorisation,
     "op4_simhash": op4_simhash,
     "op8_sentencepiece": op8_sentencepiece,
+    "op10_rules": op10_rules,
 }
 ORACLE: dict[str, str] = {}

@@ -59,14 +59,16 @@ def map_texts(
     df: DataFrame,
     keep: Sequence[str],
     text: str,
-    function: Callable[[list[str]], tuple],
+    function: Callable[..., tuple],
     fields: str,
+    beside: str | None = None,
 ) -> DataFrame:
     """Rows made from texts, in batches of bounded size; a null text is an empty one.
 
     ``function`` gets a list of texts and returns (rows, columns): for each row it makes the
     index of its text, or None for one row each, and the columns named in ``fields``. The
-    columns in ``keep`` go along.
+    columns in ``keep`` go along. With ``beside``, the function also gets that kept column of
+    equally long number lists as an array.
     """
     made = T._parse_datatype_string(fields)
     kept = [df.schema[name] for name in keep]
@@ -74,12 +76,14 @@ def map_texts(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
+    source_name = text if text in keep else "__text"
 
     def run(batches):
         for batch in batches:
-            for part in bounded_slices(batch, "__text"):
-                texts = [t or "" for t in part.column("__text").to_pylist()]
-                rows, columns = function(texts)
+            for part in bounded_slices(batch, source_name):
+                texts = [t or "" for t in part.column(source_name).to_pylist()]
+                more = [np.array(part.column(beside).to_pylist())] if beside else []
+                rows, columns = function(texts, *more)
                 own = [part.column(name) for name in keep]
                 if rows is not None:
                     own = [c.take(pa.array(rows, pa.int64())) for c in own]
@@ -88,7 +92,7 @@ def map_texts(
                 own = [c.cast(f.type) for c, f in zip(own, arrow)]
                 yield pa.RecordBatch.from_arrays([*own, *arrays], schema=arrow)
 
-    source = df.select(*keep, F.col(text).alias("__text"))
+    source = df.select(*keep, *([F.col(text).alias("__text")] if text not in keep else []))
     return source.mapInArrow(run, schema)
 
 
