@@ -2,7 +2,16 @@
 
 import public_tokenizers
 
-from playbill.llm import fingerprints, packing, piece_codec, quality_model, rule_cascade
+from playbill.llm import (
+    fingerprints,
+    guess_cost,
+    packing,
+    piece_codec,
+    quality_model,
+    rule_cascade,
+    threshold_search,
+    warc,
+)
 from playbill.llm.support import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,11 +27,23 @@ def op2_factorisation(spark, sf_dir):
     return quality_model.score(docs, quality_model.train(docs, labels))
 
 
+def op3_warc(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark, sf_dir):
     found = fingerprints.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_secrets(spark, sf_dir):
+    return guess_cost.secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_top_k(spark, sf_dir):
+    return threshold_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_sentencepiece(spark, sf_dir):
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), PIECE_BPE)
 
@@ -34,7 +55,10 @@ def op10_rules(spark, sf_dir):
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_factorisation": op2_factorisation,
+    "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
+    "op6_secrets": op6_secrets,
+    "op7_top_k": op7_top_k,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_rules": op10_rules,
 }
