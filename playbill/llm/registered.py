@@ -5,10 +5,12 @@ import public_tokenizers
 from playbill.llm import (
     fingerprints,
     guess_cost,
+    label_shards,
     packing,
     piece_codec,
     quality_model,
     rule_cascade,
+    surrogates,
     threshold_search,
     warc,
 )
@@ -16,6 +18,8 @@ from playbill.llm.support import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+#: For the checks; a job that hides real data passes a key of its own.
+SURROGATE_KEY = "key of the checks"
 
 
 def op1_packing(spark, sf_dir):
@@ -36,6 +40,10 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_surrogates(spark, sf_dir):
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op6_secrets(spark, sf_dir):
     return guess_cost.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -48,6 +56,10 @@ def op8_sentencepiece(spark, sf_dir):
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+def op9_shards(spark, sf_dir):
+    return label_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_rules(spark, sf_dir):
     return rule_cascade.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -57,9 +69,11 @@ QUERIES = {
     "op2_factorisation": op2_factorisation,
     "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
+    "op5_surrogates": op5_surrogates,
     "op6_secrets": op6_secrets,
     "op7_top_k": op7_top_k,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_shards": op9_shards,
     "op10_rules": op10_rules,
 }
 ORACLE: dict[str, str] = {}
