@@ -12,11 +12,16 @@ Null texts are empty ones; an empty text is the end id alone, a piece of length
 are packed as often as they occur. An empty table gives an empty result.
 """
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Sequence
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,33 +35,46 @@ from playbill.llm.support import (
 )
 
 KEPT_WORDS = 500_000
+# Fixed value: how the byte-level files split a text before the merges.
+WORD_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
 class ByteBpe:
     """Ids of whole texts from a ``tokenizers`` file, by way of a table of words met before.
 
     The file's pattern lets only the beginning of a token be a space, so a text may be cut before
-    a single space between two other characters without changing its ids.
+    a single space between two other characters without changing its ids. New words are encoded
+    with the file's vocabulary as ranks, which gives the same ids in a third of the time where
+    merges are in the order of ids; otherwise, and for texts with added tokens, by ``tokenizers``.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import re
-
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.added = [a.content for a in added]
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self.path = path
+        self.added = [a["content"] for a in described["added_tokens"]]
         self.wide_gap = re.compile(r"\s\s")
         self.single_space = re.compile(r"(?<=\S) (?=\S)")
+        self.ranked = _as_ranks(described)
         self.words = WordTable(self._encode, KEPT_WORDS)
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _encode(self, words):
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        if self.ranked is None or any(a in w for a in self.added for w in words):
+            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            ids = [e.ids for e in found]
+        else:
+            ids = list(map(self.ranked.encode_ordinary, words))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum())), sizes
 
     def parts(self, text: str) -> list[str]:
         if any(a in text for a in self.added):
@@ -80,6 +98,32 @@ def _at_spaces(text):
     return text.split(" ")
 
 
+def _as_ranks(described: dict):
+    """The file as a tiktoken encoding, or None where that might give other ids."""
+    vocabulary, merges = described["model"]["vocab"], described["model"]["merges"]
+    pre = described["pre_tokenizer"]
+    plain = pre == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                    "use_regex": True}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    ids = [vocabulary.get(a + b) for a, b in pairs]
+    in_order = None not in ids and all(x < y for x, y in pairwise(ids))
+    if not (plain and in_order and described["normalizer"] is None):
+        return None
+    # Bytes that print stand for themselves, the others for characters from 256 on.
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in printing}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printing)))}
+    added = {a["content"] for a in described["added_tokens"]}
+    ranks = {
+        bytes(map(byte_of.__getitem__, token)): i
+        for token, i in vocabulary.items()
+        if token not in added
+    }
+    return tiktoken.Encoding(
+        "file", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
 def cut_into_pieces(
     df: DataFrame, tokenizer: str, end_id: int, window: int, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -140,7 +140,7 @@ class _Index(dict):
 
 
 class WordTable:
-    """Ids of words met before, in flat arrays; words beyond ``limit`` begin a new table."""
+    """Ids of words met before, in flat arrays; beyond ``limit``, words met once are forgotten."""
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
         self.encode, self.limit = encode, limit
@@ -151,11 +151,27 @@ class WordTable:
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int32)
+
+    def _forget(self):
+        """Keep the words met most, at most half of the limit."""
+        often = np.sort(np.argsort(-self.met, kind="stable")[: self.limit // 2])
+        often = often[self.met[often] > 1]
+        words = list(self.index)
+        kept = [words[i] for i in often.tolist()]
+        sizes = self.sizes[often].astype(np.int64)
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[often] - ends + sizes, sizes) + np.arange(sizes.sum())
+        flat, met = self.flat[at], self.met[often]
+        self.clear()
+        self.index.update(zip(kept, range(len(kept))))
+        self.flat, self.sizes, self.met = flat, sizes.astype(np.int32), met
+        self.starts = ends - sizes
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all words, one after another; how many ids each word has)."""
         if len(self.index) > self.limit:
-            self.clear()
+            self._forget()
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
             ids, sizes = self.encode(self.index.new)
@@ -163,6 +179,8 @@ class WordTable:
             self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
             self.sizes = np.r_[self.sizes, np.asarray(sizes, np.int32)]
             self.flat = np.r_[self.flat, np.asarray(ids, np.int32)]
+            self.met = np.r_[self.met, np.zeros(len(sizes), np.int32)]
+        self.met += np.bincount(at, minlength=len(self.met)).astype(np.int32)
         sizes = self.sizes[at].astype(np.int64)
         ends = np.cumsum(sizes)
         shift = np.repeat(self.starts[at] - ends + sizes, sizes)
