@@ -44,7 +44,11 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
         shingles = [b" ".join(parts)]
     else:
         shingles = map(b" ".join, zip(*[parts[i:] for i in range(words)]))
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], "<u8")
+    return _majority([xxhash.xxh64_intdigest(s, SEED) for s in shingles])
+
+
+def _majority(values: list[int]) -> int:
+    hashes = np.array(values, "<u8")
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
         block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
@@ -101,7 +105,8 @@ class Golay:
             found.append(code)
         row = np.concatenate(rows)
         index = np.concatenate(found) >> (GOLAY_BITS - GOLAY_DATA)
-        both = np.unique(row << GOLAY_DATA | index)
+        both = np.sort(row << GOLAY_DATA | index)
+        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
         return both >> GOLAY_DATA, both & ((1 << GOLAY_DATA) - 1)
 
 
@@ -201,22 +206,171 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     return rows.join(found, "fp").select(id, "text_hash", digits, "component_id")
 
 
-def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` with one document of each component left, that of the smallest id.
+def _word_fingerprint(text: str) -> int:
+    """The bits set in over half of the hashes of the different words; few edits move few bits."""
+    parts = set(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
+    return _majority([xxhash.xxh64_intdigest(w, SEED) for w in parts])
+
+
+def both_fingerprints(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, text_hash, fp, word_fp) of each document."""
+    hashed = df.select(id, F.xxhash64(text).alias("text_hash"), F.col(text).alias("__whole"))
+
+    def run(texts):
+        made = [[f(t) for t in texts] for f in (fingerprint, _word_fingerprint)]
+        return None, [np.array(m, np.uint64).view(np.int64) for m in made]
+
+    return map_texts(hashed, [id, "text_hash"], "__whole", run, "fp long, word_fp long")
+
+
+def word_keys(nodes: DataFrame) -> DataFrame:
+    """(key, node, fp, word_fp): for each two segments of word_fp, each two codeword indices."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                values = part.column("word_fp").to_numpy(zero_copy_only=False)
+                row, key = _pair_keys(values.view(np.uint64))
+                own = [part.column(n).take(pa.array(row)) for n in ("node", "fp", "word_fp")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), *own], ["key", "node", "fp", "word_fp"]
+                )
+
+    schema = "key long, node long, fp long, word_fp long"
+    return nodes.select("node", "fp", "word_fp").mapInArrow(run, schema)
+
 
-    Nulls come last; rows with equal ids are told apart by their text, equal rows are one.
+def _pair_keys(values):
+    code = cached("golay", Golay)
+    found = []
+    for start, size in SEGMENTS:
+        segment = (values >> np.uint64(start)) & np.uint64((1 << size) - 1)
+        row, index = code.indices(segment.astype(np.int64))  # by row
+        first = np.searchsorted(row, np.arange(len(values)))
+        found.append((row, index, first, np.bincount(row, minlength=len(values))))
+    rows, keys = [], []
+    for i in range(len(SEGMENTS)):
+        for j in range(i):
+            row, index, _, _ = found[i]
+            _, other, first, count = found[j]
+            again = count[row]
+            ends = np.cumsum(again)
+            at = np.repeat(first[row] - ends + again, again) + np.arange(again.sum())
+            rows.append(np.repeat(row, again))
+            pair = (i * len(SEGMENTS) + j) << 2 * GOLAY_DATA
+            keys.append(pair | np.repeat(index, again) << GOLAY_DATA | other[at])
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def similarity(a: str, b: str, words: int) -> float:
+    """Jaccard similarity of the sets of word shingles."""
+    sets = []
+    for text in (a, b):
+        parts = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+        last = max(1, len(parts) - words + 1)
+        sets.append({tuple(parts[i : i + words]) for i in range(last)})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def _verified(pairs, nodes, df, id, text, words, least):
+    """Those pairs of nodes (a, b) whose texts are similar enough."""
+    pairs = stored(pairs, "pairs")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    places = stored(nodes.join(asked, "node").select("node", "id", "text_hash"), "asked")
+    texts = df.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
+    same = F.col("p.id").eqNullSafe(F.col("d.id")) & (F.col("p.text_hash") == F.col("d.text_hash"))
+    whole = texts.alias("d").join(places.alias("p"), same).select("node", "t")
+    whole = stored(whole.groupBy("node").agg(F.first("t").alias("t")), "asked-texts")
+    left = whole.select(F.col("node").alias("a"), F.col("t").alias("left"))
+    right = whole.select(F.col("node").alias("b"), F.col("t").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(n) for n in ("left", "right")]
+            near = [
+                similarity(x.as_py() or "", y.as_py() or "", words) >= least
+                for x, y in zip(*columns)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def similar_links(
+    nodes: DataFrame, df: DataFrame, id: str, text: str, words: int, least: float, rounds: int = 3
+) -> DataFrame:
+    """(a, b): verified links between nodes (node, id, text_hash, fp, word_fp).
+
+    Nodes that share a key are compared. Where a key has more than MOST_COMPARED nodes, each is
+    first compared with one of them, and those that are linked to it stand back, for some rounds
+    with another one each; what is left of such keys is compared pair by pair.
+    """
+    close = F.expr("bit_count(a_fp ^ b_fp) <= 22 and bit_count(a_word ^ b_word) <= 14")
+    alive, links = nodes, None
+    for turn in range(rounds + 1):
+        keys = word_keys(alive)
+        sizes = keys.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "fp", "word_fp")).alias("one"),
+        )
+        sizes = stored(sizes.filter("n > 1"), "word-key-sizes")
+        met = keys.join(sizes, "key")
+        hot = (F.col("n") > MOST_COMPARED) if turn < rounds else F.lit(False)
+        named = lambda p: [F.col(c).alias(f"{p}_{n}") for c, n in
+                           (("node", "node"), ("fp", "fp"), ("word_fp", "word"))]
+        some = stored(met.filter(~hot).select("key", "node", "fp", "word_fp"), "word-keys")
+        every = some.select("key", *named("a")).join(some.select("key", *named("b")), "key")
+        every = every.filter(F.col("a_node") < F.col("b_node"))
+        one = met.filter(hot).select(
+            "key", F.col("one.node").alias("a_node"), F.col("one.fp").alias("a_fp"),
+            F.col("one.word_fp").alias("a_word"), *named("b"),
+        ).filter("a_node <> b_node")
+        pairs = every.unionByName(one).filter(close)
+        pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+        found = stored(_verified(pairs.distinct(), nodes, df, id, text, words, least), "similar")
+        links = found if links is None else links.unionByName(found)
+        if turn == rounds or sizes.filter(F.col("n") > MOST_COMPARED).isEmpty():
+            return links
+        # Only the smallest node of what is linked by now goes on.
+        gone = components(links).filter("node <> root").select("node")
+        alive = stored(nodes.join(gone, "node", "left_anti"), "alive")
+    return links
+
+
+def one_of_each(
+    df: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    least: float = 0.8,
+) -> DataFrame:
+    """The rows of ``df`` with one document of each group of near-duplicates left.
+
+    Documents belong together whose fingerprints are linked, or whose sets of ``words``-word
+    shingles have a similarity of ``least``. The row with the smallest id stays; nulls come last,
+    rows with equal ids are told apart by their text, and equal rows are one.
     """
-    found = stored(near_duplicates(df, id, text), "near-duplicates")
-    place = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("i"), "text_hash")
-    by = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), "fingerprint"))
-    chosen = found.groupBy(by.alias("c")).agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("n"))
-    same = found.join(chosen, by.eqNullSafe(F.col("c")))
-    kept = same.filter(place == F.col("p")).groupBy(id, "text_hash").count()
-    kept = kept.select(F.col(id).alias("__id"), F.col("text_hash").alias("__h"), "count")
-    rows = df.withColumn("__hash", F.xxhash64(text))
-    match = F.col(id).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
-    rows = rows.join(kept, match)
-    single = rows.filter("count = 1").select(df.columns)
-    # Several equal rows: any one of them, told by nothing else.
-    repeated = rows.filter("count > 1").select(df.columns)
+    rows = stored(both_fingerprints(df, id, text), "fingerprints")
+    place = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), "text_hash", "word_fp")
+    values = stored(rows.groupBy("fp").agg(F.min(place).alias("place")), "values")
+    root = components(links(values)).select(F.col("node").alias("fp"), "root")
+    rooted = values.join(root, "fp", "left").withColumn("node", F.coalesce("root", "fp"))
+    nodes = rooted.groupBy("node").agg(F.min(F.struct("place", "fp")).alias("first"))
+    nodes = stored(nodes.select("node", "first.place.*", "first.fp"), "nodes")
+    more = components(similar_links(nodes, df, id, text, words, least))
+    whole = nodes.join(more, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    first = F.min(F.struct("no_id", "id", "text_hash")).alias("kept")
+    chosen = stored(whole.groupBy("group").agg(first).select("kept.*"), "chosen")
+    copies = rows.groupBy(F.col(id).alias("id"), "text_hash").count().filter("count > 1")
+    same = F.col("k.id").eqNullSafe(F.col("c.id")) & (F.col("k.text_hash") == F.col("c.text_hash"))
+    kept = chosen.alias("k").join(copies.alias("c"), same, "left").select(
+        F.col("k.id").alias("__id"), F.col("k.text_hash").alias("__h"), "count"
+    )
+    match = F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
+    found = df.join(kept, match)
+    single = found.filter("count is null").select(df.columns)
+    # Several equal rows: any one of them, as nothing tells them apart.
+    repeated = found.filter("count is not null").select(df.columns)
     return single.unionByName(repeated.dropDuplicates([id, text]))
