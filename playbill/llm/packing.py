@@ -149,10 +149,11 @@ def cut_into_pieces(
 
 
 def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, depth: int, each: int):
-    """Combinations of up to ``depth`` present lengths that fill a window as far as possible.
+    """Combinations of up to ``depth`` present lengths that fill a window to a 64th part.
 
     For each length as the longest one, the ``each`` most frequent second lengths and, if
-    ``depth`` is 3, third ones; the last length is always the longest that still fits.
+    ``depth`` is 3, third ones; the last length is always the longest that still fits. Lengths
+    too short for any such combination are left to the greedy step.
     """
     present = np.sort(lengths)
     often = lengths[np.argsort(-counts, kind="stable")][: 4 * each]
@@ -161,7 +162,7 @@ def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, depth: in
         at = np.searchsorted(present, min(room, most), side="right")
         return int(present[at - 1]) if at else 0
 
-    found = {(int(x),) for x in present}
+    found = set()
     for first in present.tolist():
         second = longest_within(window - first, first)
         if second:
@@ -174,7 +175,7 @@ def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, depth: in
         for second in seconds:
             third = longest_within(window - first - second, second)
             found.add((first, second, third) if third else (first, second))
-    return sorted(found, reverse=True)
+    return sorted((c for c in found if window - sum(c) <= window // 64), reverse=True)
 
 
 def non_negative_least_squares(
@@ -224,7 +225,7 @@ def plan_windows(
     if left:
         short = np.array(sorted(left))
         amount = np.array([left[n] for n in short.tolist()], float)
-        columns = [c for c in combinations(short, amount, window, depth, each) if len(c) > 1]
+        columns = combinations(short, amount, window, depth, each)
         if columns:
             solved = non_negative_least_squares(columns, short, amount)
             waste = [window - sum(c) for c in columns]

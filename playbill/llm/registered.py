@@ -76,4 +76,87 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_rules": op10_rules,
 }
-ORACLE: dict[str, str] = {}
+
+_RULES = """
+10 * n_symbols > 3 * n_words
+or (2 * n_dup_lines > n_lines and n_dup_lines > 2)
+or word_chars < 3 * n_words
+or word_chars > 20 * n_words
+or 5 * len(list_filter(words, lambda w: regexp_matches(w, '\\p{L}'))) < 4 * n_words
+or 2 * len(list_filter(words, lambda w: length(w) > 2 and w = upper(w) and w <> lower(w))) > n_words
+or (3 * n_words > 10 * len(list_distinct(words)) and n_words < 100)
+or 10 * len(list_filter(range(2, greatest(3, n_words + 1)), lambda i: words[i] = words[i - 1]))
+    > 2 * n_words
+or 10 * len(list_filter(words, lambda w: w like '%...')) > 3 * n_words
+"""
+#: The SQL that an independent engine runs on the same tables, where SQL can express a query.
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+with captures as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hashed,
+           min(page_id) over (partition by coalesce(html, '')) as first_id
+    from pages
+), digits as (
+    select *, cast(cast(unhex(hashed) as bit) as varchar) as bits from captures
+)
+select page_id, strlen(payload) as payload_bytes,
+       array_to_string(list_transform(range(0, 160, 5), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * cast(substr(bits, i + 1, 1) as integer)
+             + 8 * cast(substr(bits, i + 2, 1) as integer)
+             + 4 * cast(substr(bits, i + 3, 1) as integer)
+             + 2 * cast(substr(bits, i + 4, 1) as integer)
+             + cast(substr(bits, i + 5, 1) as integer), 1)), '') as payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to,
+       true as has_request
+from digits
+""",
+    "op7_top_k": """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from vectors q join vectors c on q.vec_id <> c.vec_id
+    where q.vec_id % 50 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as place
+    from scored
+)
+select query_id, cast(place as integer) as "rank", vec_id, score from ranked where place <= 5
+""",
+    "op10_rules": f"""
+with listed as (
+    select doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+    from documents
+), windows as (
+    select doc_id, place, words[place:place + 7] as part
+    from (select doc_id, words, unnest(range(1, len(words) - 6)) as place from listed)
+), again as (
+    select doc_id, place from (
+        select *, count(*) over (partition by doc_id, part) as times from windows
+    ) where times > 1
+), covered as (
+    select doc_id, sum(least(8, coalesce(place - before, 8))) as n from (
+        select *, lag(place) over (partition by doc_id order by place) as before from again
+    ) group by doc_id
+), figures as (
+    select doc_id, words, cast(len(words) as bigint) as n_words, len(lines) as n_lines,
+           cast(length(array_to_string(words, '')) as bigint) as word_chars,
+           cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,
+           cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+           cast(coalesce(n, 0) as bigint) as n_repeat_words
+    from listed left join covered using (doc_id)
+), judged as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from figures
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not coalesce({_RULES}, false) as kept
+from judged
+""",
+}

@@ -108,6 +108,8 @@ def measured_order(rows: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS)
     The sample is at most ``sample_rows`` rows and decides about speed alone.
     """
     total = rows.count()
+    if not total:
+        return list(rules)
     share = min(1.0, 1.5 * sample_rows / max(1, total))
     sample = stored(figures(rows.sample(share, seed=1)).limit(sample_rows), "rule-sample")
     sample = sample.filter(~base_failed())
