@@ -11,8 +11,9 @@ def _col(c):
 def lenient_int(c):
     """Text to int; bad text becomes null and '9.7' becomes 9, whatever the ANSI setting."""
     c = _col(c)
-    decimal_text = c.rlike(r"^\s*[+-]?\d+\.\d*\s*$")
+    decimal_text = c.rlike(r"^\s*[+-]?(\d+\.\d*|\.\d+)\s*$")
     whole_part = F.substring_index(F.trim(c), ".", 1)
+    whole_part = F.when(whole_part.isin("", "+", "-"), "0").otherwise(whole_part)
     return F.coalesce(c.try_cast("int"), F.when(decimal_text, whole_part.try_cast("int")))
 
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playbill import fixed_values as V
@@ -68,8 +68,9 @@ def summary(df: DataFrame) -> DataFrame:
 
 def type_summary(df: DataFrame) -> DataFrame:
     """Rows per title type with their percentage, most frequent first."""
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     counted = df.groupBy("title_type").count()
+    # One scan: the total is summed over the counts, a row for each type.
+    total = F.sum("count").over(Window.partitionBy())
     return counted.withColumn("pct", percent_of("count", total)).orderBy(
         F.desc("count"), "title_type"
     )

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,15 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _rows_of(seen: Observation, df: DataFrame) -> int:
+    """The observed rows. Where one input has no rows, adaptive execution drops the other side
+    of its join together with the count; then the rows are counted by themselves."""
+    try:
+        return seen.get["rows"]
+    except (Py4JError, KeyError, AssertionError):
+        return df.count()
+
+
 def _cleaned(titles, ratings, episodes, as_of_year):
     return (
         clean_titles(titles, as_of_year, keep_hash=True),
@@ -50,19 +60,30 @@ class LakeOutcome:
 
 
 def build_lake(
-    spark: SparkSession, raw_folder: str, lake: str, as_of_year: int, suffix: str = ""
+    spark: SparkSession,
+    raw_folder: str,
+    lake: str,
+    as_of_year: int,
+    suffix: str = "",
+    spread: bool = False,
 ) -> LakeOutcome:
-    """Read, clean, join and write in one pass over the input, without caching."""
+    """Read, clean, join and write in one pass over the input, without caching.
+
+    ``spread`` shares the rows of few big files (``.gz`` ones cannot be split) out over the
+    cluster. A failing job leaves the folder incomplete, as Spark clears it before it writes:
+    write to a new folder and switch readers over where the old lake has to survive.
+    """
     names = ("titles", "ratings", "episodes")
-    raw = read_raw(spark, raw_folder, suffix)
-    raw, read = zip(*[counted(df, f"{n} read") for df, n in zip(raw, names)])
+    plain = read_raw(spark, raw_folder, suffix, spread)
+    raw, read = zip(*[counted(df, f"{n} read") for df, n in zip(plain, names)])
     cleaned = _cleaned(*raw, as_of_year)
     cleaned, kept = zip(*[counted(df, f"{n} kept") for df, n in zip(cleaned, names)])
     write_lake(enrich(*cleaned), lake)
+    plain_kept = _cleaned(*plain, as_of_year)
     written = read_lake(spark, lake)
     return LakeOutcome(
-        rows_read={n: seen.get["rows"] for n, seen in zip(names, read)},
-        rows_kept={n: seen.get["rows"] for n, seen in zip(names, kept)},
+        rows_read={n: _rows_of(o, df) for n, o, df in zip(names, read, plain)},
+        rows_kept={n: _rows_of(o, df) for n, o, df in zip(names, kept, plain_kept)},
         rows=written.count(),
         summary=summary(written),
         types=type_summary(written),
@@ -81,13 +102,20 @@ class LoadOutcome:
 
 
 def load_serving(
-    spark: SparkSession, lake: str, serving: str, rollup: str | None = None, refresh: str = "full"
+    spark: SparkSession,
+    lake: str,
+    serving: str,
+    rollup: str | None = None,
+    bloom_columns: tuple[str, ...] = (),
 ) -> LoadOutcome:
     """Lake to serving table, and the rollup from the serving table.
 
+    The table is always written whole: a title whose decade changed would stay in its old folder
+    if only the folders of the new rows were replaced.
+
     Titles without a year are loaded too, into decade 0. A failing file fails the load.
     """
-    write_serving(read_lake(spark, lake), serving, refresh)
+    write_serving(read_lake(spark, lake), serving, bloom_columns=bloom_columns)
     table = read_serving(spark, serving)
     if rollup:
         write_rollup(rollup_state(table), rollup)

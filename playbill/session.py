@@ -25,14 +25,15 @@ def build_session(app: str = "playbill", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Set the number of shuffle partitions from the size of the input files.
+def size_shuffles(spark: SparkSession, *paths: str, factor: int = 1) -> int:
+    """Set the number of shuffle partitions from the size of the input files times ``factor``.
 
     Adaptive execution merges small partitions but cannot split those of an aggregation, so a
     large input needs enough of them from the start. Only file sizes are read.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     sizes = files.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    sizes *= factor
     parallelism = spark.sparkContext.defaultParallelism
     count = max(parallelism, -(-sizes // SHUFFLE_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))

@@ -28,7 +28,11 @@ def _write(df, path, partitions=(), refresh="full", options=None):
 
 
 def write_lake(df: DataFrame, path: str, refresh: str = "full") -> None:
-    """The lake: folders by type and year. ``refresh='partitions'`` replaces only those given."""
+    """The lake: folders by type and year. ``refresh='partitions'`` replaces only those given.
+
+    Such rows must be all rows of their folders, and no key may have come from another folder,
+    where its old row would stay.
+    """
     _write(df.hint("rebalance", *V.LAKE_PARTITIONS), path, V.LAKE_PARTITIONS, refresh)
 
 
@@ -50,7 +54,7 @@ def serving_layout(rows: DataFrame) -> DataFrame:
 
 
 def write_serving(
-    df: DataFrame, path: str, refresh: str = "full", bloom_columns: tuple[str, ...] = ()
+    df: DataFrame, path: str, bloom_columns: tuple[str, ...] = ()
 ) -> None:
     """The serving table: decade folders, rows sorted by type, year and key.
 
@@ -58,7 +62,7 @@ def write_serving(
     filters, e.g. for key look-ups.
     """
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_columns}
-    _write(serving_layout(serving_rows(df)), path, ("decade",), refresh, options)
+    _write(serving_layout(serving_rows(df)), path, ("decade",), options=options)
 
 
 def write_rollup(state: DataFrame, path: str) -> None:

@@ -462,6 +462,19 @@ from wide
     "mrt_by_genre": _BY_GENRE,
     "mrt_movies": "select * from served where title_type = 'movie'",
     "mrt_tv_series": "select * from served where title_type = 'tvSeries'",
+    "fun_round": """
+select l_orderkey, l_linenumber, round_even(cast(l_quantity as double) / 8, 2) as eighths,
+       round_even(cast(l_quantity as double) / 4, 1) as quarters,
+       round_even(cast(l_quantity as double) / 2, 0) as halves
+from lineitem
+""",
+    "fun_readable_size": """
+select p_partkey, format('{:,.1f} MiB', p_partkey * 0.5::double) as size from part
+""",
+    "mrt_recent_today": """
+select * from served where start_year >= year(current_date) - 5 and num_votes > 1000
+""",
+    "job_gz_lake": "select * from wide",
     "mrt_recent_popular": "select * from served where start_year >= 2021 and num_votes > 1000",
     "prf_summary": """
 select count(*) as total, min(start_year) as min_year, max(start_year) as max_year,
@@ -475,6 +488,10 @@ from wide
 select title_type, count(*) as "count",
        cast(count(*) as double) * 100 / (select count(*) from wide) as pct
 from wide group by title_type
+""",
+    "prf_partition_files": """
+select "decade" as "partition", count(*) as "rows", true as has_files, true as has_bytes
+from served group by 1
 """,
     "prf_partition_rows": 'select "decade" as "partition", count(*) as "rows" from served group by 1',
     "dq_served": """

@@ -132,6 +132,41 @@ def lenient_int(spark, sf_dir):
     return items.select("l_orderkey", "l_linenumber", P.lenient_int(text).alias("whole_price"))
 
 
+def rounded_ties(spark, sf_dir):
+    """Eighths and quarters of a table's numbers are exact in binary, so ties are real."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = F.col("l_quantity").cast("double")
+    return items.select(
+        "l_orderkey",
+        "l_linenumber",
+        P.half_even(number / 8, 2).alias("eighths"),
+        P.half_even(number / 4, 1).alias("quarters"),
+        P.half_even(number / 2, 0).alias("halves"),
+    )
+
+
+def recent_today(spark, sf_dir):
+    return marts.recent_popular(serving(spark, sf_dir))
+
+
+def sizes(spark, sf_dir):
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return parts.select(
+        "p_partkey", P.readable_size(F.col("p_partkey") * 524288).alias("size")
+    )
+
+
+def gz_lake(spark, sf_dir):
+    """The lake from one gzip file for each input, whose rows are spread before further work."""
+    raw = fresh_path(spark, "raw-gz")
+    names = (V.TITLES_FILE, V.RATINGS_FILE, V.EPISODES_FILE)
+    for frame, name in zip(raw_frames(spark, sf_dir), names):
+        write_delimited(frame, f"{raw}/{name}.gz", "gzip")
+    lake = fresh_path(spark, "lake")
+    build_lake(spark, raw, lake, AS_OF_YEAR, suffix=".gz", spread=True)
+    return read_lake(spark, lake)
+
+
 def conformed(spark, sf_dir):
     return cleaning.conform(cleaning.clean_titles(raw_titles(spark, sf_dir), AS_OF_YEAR))
 
@@ -282,13 +317,19 @@ STEPS = {
     "prf_partition_rows": lambda spark, sf: partition_summary(serving(spark, sf)).select(
         "partition", "rows"
     ),
-    "prf_partition_files": lambda spark, sf: partition_summary(serving(spark, sf)),
+    "prf_partition_files": lambda spark, sf: partition_summary(serving(spark, sf)).selectExpr(
+        "partition", "rows", "files >= 1 as has_files", "bytes > 0 as has_bytes"
+    ),
     "dq_served": lambda spark, sf: quality.quality_report(
         serving(spark, sf), quality.title_rules(AS_OF_YEAR)
     ),
     "dq_raw_titles": raw_title_rules,
     "dq_raw_ratings": raw_rating_rules,
     "snk_view_sql": view_sql,
+    "fun_round": rounded_ties,
+    "fun_readable_size": sizes,
+    "mrt_recent_today": recent_today,
+    "job_gz_lake": gz_lake,
     "job_lake_and_load": lake_and_load,
     "job_row_counts": row_counts,
 }

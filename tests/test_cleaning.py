@@ -1,7 +1,15 @@
 import random
 
 import pytest
-from conftest import AS_OF_YEAR
+from conftest import (
+    AS_OF_YEAR,
+    CHILD,
+    KEPT_EPISODES,
+    KEPT_RATINGS,
+    KEPT_TITLES,
+    NO_GENRE,
+    SERIES,
+)
 
 from playbill.functions import lenient_float, lenient_int
 from playbill.operators import cleaning as C
@@ -15,20 +23,20 @@ def by_key(df):
 
 def test_titles_keep_valid_unique_rows(titles_raw):
     rows = C.clean_titles(titles_raw, AS_OF_YEAR).collect()
-    assert sorted(r["tconst"] for r in rows) == [f"tt000000{i}" for i in range(1, 6)]
+    assert sorted(r["tconst"] for r in rows) == sorted(KEPT_TITLES)
 
 
 def test_titles_are_renamed_and_typed(titles_raw):
     cleaned = C.clean_titles(titles_raw, AS_OF_YEAR)
     assert cleaned.columns == ENRICHED.fieldNames()[:9]
-    row = by_key(cleaned)["tt0000001"]
-    assert row["start_year"] == 1894 and isinstance(row["start_year"], int)
-    assert row["runtime_minutes"] == 2 and row["end_year"] is None
-    assert by_key(cleaned)["tt0000004"]["end_year"] == 2013
+    row = by_key(cleaned)[CHILD]
+    assert row["start_year"] == 1950 and isinstance(row["start_year"], int)
+    assert row["runtime_minutes"] == 80 and row["end_year"] is None and row["is_adult"] == 1
+    assert by_key(cleaned)[SERIES]["end_year"] == 1957
 
 
 def test_missing_genres_become_unknown(titles_raw):
-    assert by_key(C.clean_titles(titles_raw, AS_OF_YEAR))["tt0000005"]["genres"] == "Unknown"
+    assert by_key(C.clean_titles(titles_raw, AS_OF_YEAR))[NO_GENRE]["genres"] == "Unknown"
 
 
 @pytest.mark.parametrize("year, kept", [("1874", 1), ("1873", 0), ("2031", 1), ("2032", 0)])
@@ -49,9 +57,10 @@ def test_missing_year_is_kept(spark):
 
 def test_ratings_keep_valid_rows(ratings_raw):
     rows = by_key(C.clean_ratings(ratings_raw))
-    assert sorted(rows) == [f"tt000000{i}" for i in range(1, 6)]
-    assert rows["tt0000004"]["average_rating"] == pytest.approx(9.5)
-    assert rows["tt0000004"]["num_votes"] == 1_800_000
+    assert sorted(rows) == sorted(KEPT_RATINGS)
+    assert rows[KEPT_RATINGS[1]]["average_rating"] == pytest.approx(0.1)
+    assert rows[KEPT_RATINGS[-1]]["average_rating"] is None
+    assert rows[KEPT_RATINGS[-1]]["num_votes"] == 10
 
 
 def test_ratings_edge_values(spark):
@@ -71,19 +80,17 @@ def test_ratings_edge_values(spark):
 
 def test_episodes(episodes_raw):
     rows = by_key(C.clean_episodes(episodes_raw))
-    assert len(rows) == 4
-    first = rows["tt0000005"]
-    assert (first["parent_tconst"], first["season_number"], first["episode_number"]) == (
-        "tt0000004",
-        1,
-        1,
-    )
+    assert sorted(rows) == sorted(KEPT_EPISODES)
+    first = rows[CHILD]
+    found = (first["parent_tconst"], first["season_number"], first["episode_number"])
+    assert found == (SERIES, 2, 4)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_lenient_casts(spark, ansi):
-    texts = ["12", " 12 ", "-3", "9.7", "-9.7", "9.", "abc", "", None, "99999999999", "1e3", "1.2.3"]
-    whole = [12, 12, -3, 9, -9, 9, None, None, None, None, None, None]
+    texts = ["12", " 12 ", "-3", "9.7", "-9.7", "9.", "abc", "", None, "99999999999", "1e3", "1.2.3",
+             ".5", "+.7", "-.2", ".", "+"]
+    whole = [12, 12, -3, 9, -9, 9, None, None, None, None, None, None, 0, 0, 0, None, None]
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
@@ -130,16 +137,15 @@ def test_enrich_keeps_every_title(enriched):
     assert enriched.columns == ENRICHED.fieldNames()
     assert [f.dataType for f in enriched.schema] == [f.dataType for f in ENRICHED]
     rows = by_key(enriched)
-    assert len(rows) == 5
-    assert rows["tt0000003"]["parent_tconst"] is None
-    assert rows["tt0000003"]["season_number"] is None
-    assert rows["tt0000005"]["parent_tconst"] == "tt0000004"
+    assert sorted(rows) == sorted(KEPT_TITLES)
+    assert rows[SERIES]["parent_tconst"] is None and rows[SERIES]["season_number"] is None
+    assert rows[CHILD]["parent_tconst"] == SERIES
 
 
 def test_unmatched_titles_have_no_rating(spark, titles_raw, episodes_raw):
     none = C.clean_ratings(spark.createDataFrame([], RAW_RATINGS))
     wide = C.enrich(C.clean_titles(titles_raw, AS_OF_YEAR), none, C.clean_episodes(episodes_raw))
-    assert [r["average_rating"] for r in wide.collect()] == [None] * 5
+    assert [r["average_rating"] for r in wide.collect()] == [None] * len(KEPT_TITLES)
 
 
 def test_conform_adds_and_orders_columns(spark):
@@ -179,7 +185,7 @@ def test_joins_reuse_the_shuffle_of_the_dedupe(spark, titles_raw, ratings_raw, e
     assert plan.count("SortMergeJoin") == 2
     # one sort before and one after each shuffle, none for the joins
     assert plan.count("Sort [") == 6
-    assert df.columns == ENRICHED.fieldNames() and len(joined) == 5
+    assert df.columns == ENRICHED.fieldNames() and len(joined) == len(KEPT_TITLES)
 
 
 def test_counting_rows_does_not_add_a_shuffle(spark, titles_raw, ratings_raw, episodes_raw):

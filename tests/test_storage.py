@@ -3,14 +3,26 @@ import os
 from types import SimpleNamespace
 
 import pytest
-from conftest import AS_OF_YEAR, EPISODE_ROWS, RATING_ROWS, TITLE_ROWS
+from conftest import (
+    AS_OF_YEAR,
+    CHILD,
+    EPISODE_ROWS,
+    KEPT_EPISODES,
+    KEPT_RATINGS,
+    KEPT_TITLES,
+    RATING_ROWS,
+    SERIES,
+    TITLE_ROWS,
+)
 from pyspark.sql import functions as F
 
+from playbill import fixed_values as V
+from playbill.__main__ import show_rows
 from playbill.operators import marts
 from playbill.operators.cleaning import conform
 from playbill.plans.pipeline import build_lake, counted, load_serving, read_rollup
 from playbill.schemas import ENRICHED, RAW_EPISODES, RAW_RATINGS, RAW_TITLES
-from playbill.session import fresh_path, shared_folder, size_shuffles
+from playbill.session import clear_intermediates, fresh_path, shared_folder, size_shuffles
 from playbill.sinks import (
     ensure_tables,
     load_table,
@@ -102,19 +114,23 @@ def test_jobs_end_to_end(spark, tmp_path):
     lake, serving, rollup = (str(tmp_path / n) for n in ("lake", "serving", "rollup"))
 
     outcome = build_lake(spark, str(raw), lake, AS_OF_YEAR)
-    assert outcome.rows_read == {"titles": 9, "ratings": 8, "episodes": 4}
-    assert outcome.rows_kept == {"titles": 5, "ratings": 5, "episodes": 4}
-    assert outcome.rows == 5
+    given = {"titles": TITLE_ROWS, "ratings": RATING_ROWS, "episodes": EPISODE_ROWS}
+    kept = {"titles": KEPT_TITLES, "ratings": KEPT_RATINGS, "episodes": KEPT_EPISODES}
+    count = len(KEPT_TITLES)
+    rated = {r[0] for r in RATING_ROWS if r[1] != "text"} & set(KEPT_RATINGS) & set(KEPT_TITLES)
+    assert outcome.rows_read == {n: sum(bool(r[0]) for r in rows) for n, rows in given.items()}
+    assert outcome.rows_kept == {n: len(keys) for n, keys in kept.items()}
+    assert outcome.rows == count
     summary = outcome.summary.first()
-    assert (summary["min_year"], summary["max_year"]) == (1892, 2008)
-    assert (summary["rated"], summary["with_parent"]) == (5, 1)
-    assert outcome.types.first()["title_type"] == "short"
+    assert (summary["min_year"], summary["max_year"]) == (1874, AS_OF_YEAR + 5)
+    assert (summary["rated"], summary["with_parent"]) == (len(rated), 1)
+    assert outcome.types.first()["title_type"] == "movie"
 
     loaded = load_serving(spark, lake, serving, rollup)
-    assert loaded.rows == 5
-    assert sum(r["rows"] for r in loaded.partitions.collect()) == 5
-    assert {r["title_type"]: r["cnt"] for r in loaded.types.collect()}["short"] == 2
-    assert read_rollup(spark, rollup).agg(F.sum("title_count")).first()[0] == 5
+    assert loaded.rows == count
+    assert sum(r["rows"] for r in loaded.partitions.collect()) == count
+    assert {r["title_type"]: r["cnt"] for r in loaded.types.collect()}["movie"] == count - 2
+    assert read_rollup(spark, rollup).agg(F.sum("title_count")).first()[0] == len(rated)
 
 
 def test_load_fails_on_a_broken_file(spark, tmp_path, enriched):
@@ -134,15 +150,14 @@ def test_lake_layout_and_types(spark, tmp_path, enriched):
     write_lake(enriched, path)
     assert folders(path) == [
         "title_type=movie",
-        "title_type=short",
         "title_type=tvEpisode",
         "title_type=tvSeries",
     ]
-    assert folders(f"{path}/title_type=short") == ["start_year=1892", "start_year=1894"]
+    assert folders(f"{path}/title_type=tvSeries") == ["start_year=1950"]
     assert all(f.endswith(".snappy.parquet") for f in parquet_files(path))
     back = read_lake(spark, path)
     assert back.schema == ENRICHED
-    assert back.exceptAll(enriched).count() == 0 and back.count() == 5
+    assert back.exceptAll(enriched).count() == 0 and back.count() == len(KEPT_TITLES)
 
 
 def test_titles_without_year_or_type_reach_the_serving_table(spark, tmp_path):
@@ -300,37 +315,66 @@ def test_catalog_tables(spark, tmp_path):
 def test_views(spark, enriched):
     names = marts.register_views(enriched, AS_OF_YEAR, prefix="t_")
     counts = [spark.sql(f"select * from {n}").count() for n in names]
-    assert counts == [5, 1, 1, 0]
-    recent = marts.recent_popular(enriched, as_of_year=2012)
-    assert sorted(r["tconst"] for r in recent.collect()) == ["tt0000004", "tt0000005"]
-    assert marts.recent_popular(enriched).count() == 0
+    assert counts == [len(KEPT_TITLES), len(KEPT_TITLES) - 2, 1, 0]
+    many = enriched.withColumn("num_votes", F.lit(V.RECENT_MIN_VOTES + 1))
+    recent = marts.recent_popular(many, as_of_year=1954)
+    assert {SERIES, CHILD} <= {r["tconst"] for r in recent.collect()}
+    few = many.withColumn("num_votes", F.lit(V.RECENT_MIN_VOTES))
+    assert marts.recent_popular(few, as_of_year=1954).count() == 0
 
 
 def test_row_counts_come_with_the_pass(spark, enriched):
     df, seen = counted(enriched, "enriched rows")
     df.collect()
-    assert seen.get == {"rows": 5}
+    assert seen.get == {"rows": len(KEPT_TITLES)}
 
 
-def test_shared_folder_is_the_one_of_the_session(spark):
+def test_intermediates_go_to_the_shared_folder_and_are_cleared(spark, tmp_path):
     folder = spark.conf.get("spark.checkpoint.dir")
-    assert shared_folder(spark) == folder
-    assert fresh_path(spark, "x").startswith(folder) and fresh_path(spark, "x") != fresh_path(
-        spark, "x"
-    )
+    assert shared_folder(spark).startswith(folder)
+    path = fresh_path(spark, "x")
+    assert path.startswith(folder) and path != fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    clear_intermediates(spark)
+    assert not os.path.exists(path)
 
 
-@pytest.mark.parametrize("master, given", [("local[2]", True), ("yarn", False)])
-def test_only_local_sessions_fall_back_to_a_temporary_folder(master, given):
+def test_without_a_shared_folder_the_warehouse_is_used():
+    settings = {"spark.sql.warehouse.dir": "hdfs://warehouse/"}
     bare = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: default),
-        sparkContext=SimpleNamespace(master=master),
+        conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)),
+        sparkContext=SimpleNamespace(applicationId="app-1"),
     )
-    folder = shared_folder(bare)
-    assert (folder is not None) == given and folder == shared_folder(bare)
-    if not given:
-        with pytest.raises(ValueError):
-            fresh_path(bare, "x")
+    assert shared_folder(bare) == "hdfs://warehouse/playbill/app-1"
+
+
+@pytest.mark.parametrize("empty", ["titles", "ratings", "episodes"])
+@pytest.mark.parametrize("how", ["header only", "all filtered out"])
+def test_lake_job_on_an_input_without_rows(spark, tmp_path, empty, how):
+    title = "\t".join(("k", "movie", "a", "a", "0", "1990", "\\N", "90", "X"))
+    body = {
+        "titles": [title.replace("k", "tt1", 1)],
+        "ratings": ["tt1\t5.0\t9"],
+        "episodes": ["tt1\ttt2\t1\t1"],
+    }
+    bad = {"titles": [title], "ratings": ["tt1\t99.0\t9"], "episodes": ["\\N\ttt2\t1\t1"]}
+    body[empty] = [] if how == "header only" else bad[empty]
+    schemas = {"titles": RAW_TITLES, "ratings": RAW_RATINGS, "episodes": RAW_EPISODES}
+    files = {"titles": V.TITLES_FILE, "ratings": V.RATINGS_FILE, "episodes": V.EPISODES_FILE}
+    for name, schema in schemas.items():
+        lines = ["\t".join(schema.fieldNames()), *body[name]]
+        (tmp_path / files[name]).write_text("\n".join(lines) + "\n")
+    outcome = build_lake(spark, str(tmp_path), str(tmp_path / "lake"), 2026)
+    assert outcome.rows_read == {n: len(rows) for n, rows in body.items()}
+    assert outcome.rows_kept == {n: 0 if n == empty else 1 for n in body}
+    assert outcome.rows == (0 if empty == "titles" else 1) == outcome.summary.first()["total"]
+
+
+def test_all_rows_of_a_report_are_printed(spark, capsys):
+    assert show_rows(spark.range(257).toDF("n")) == 257
+    assert len(capsys.readouterr().out.splitlines()) == 258
+    assert show_rows(spark.range(257), most=5) == 257
+    assert capsys.readouterr().out.splitlines()[-1] == "(5 of 257 rows)"
 
 
 def test_shuffles_are_sized_by_the_input(spark, tmp_path):
