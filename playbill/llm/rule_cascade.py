@@ -137,7 +137,11 @@ def first_rejection(rules) -> Column:
 
 
 def judged(rows: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """``figures`` with base_failed, rejected_by and kept."""
+    """``figures`` with base_failed, rejected_by and kept.
+
+    Store it before filtering: Spark pushes a filter on these columns below the figures, where
+    each rule would compute all of them again.
+    """
     found = figures(rows, text).withColumn("base_failed", base_failed())
     by = F.when(~F.col("base_failed"), first_rejection(rules))
     found = found.withColumn("rejected_by", by)
@@ -148,13 +152,17 @@ def apply_rules(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """(id, the figures, base_failed, kept) of every text."""
     rows = df.select(F.col(id).alias("__id"), F.col(text).alias("text"))
     found = judged(rows, measured_order(rows))
-    return found.select(
+    found = found.select(
         F.col("__id").alias(id), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept",
     )
+    return stored(found, "verdicts")
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that every rule lets pass, with all their columns."""
+    """The rows of ``df`` that every rule lets pass, with all their columns.
+
+    Verdicts are stored before rows are dropped, see ``judged``."""
     rows = df.select(F.struct(*df.columns).alias("__row"), F.col(text).alias("text"))
-    return judged(rows, measured_order(rows)).filter("kept").select("__row.*")
+    found = judged(rows, measured_order(rows)).select("__row", "kept")
+    return stored(found, "verdicts").filter("kept").select("__row.*")
