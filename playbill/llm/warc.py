@@ -259,9 +259,13 @@ def transactions(records: DataFrame) -> DataFrame:
     origin = partner("metadata", "page_id").select(
         F.col("record_id").alias("refers_to"), F.col("metadata.page_id").alias("refers_to_page")
     )
-    return whole.join(origin, "refers_to", "left").select(
-        "request", "response", "metadata", "refers_to_page"
+    # A response meets itself there: with nulls as keys, all responses would be in one task.
+    known = F.coalesce("refers_to", "record_id")
+    whole = whole.withColumn("__known", known).join(
+        origin.withColumnRenamed("refers_to", "__known"), "__known", "left"
     )
+    page = F.when(F.col("refers_to").isNotNull(), F.col("refers_to_page")).alias("refers_to_page")
+    return whole.select("request", "response", "metadata", page)
 
 
 def archive_round_trip(
