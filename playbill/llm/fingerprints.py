@@ -363,14 +363,16 @@ def one_of_each(
     whole = nodes.join(more, "node", "left").withColumn("group", F.coalesce("root", "node"))
     first = F.min(F.struct("no_id", "id", "text_hash")).alias("kept")
     chosen = stored(whole.groupBy("group").agg(first).select("kept.*"), "chosen")
-    copies = rows.groupBy(F.col(id).alias("id"), "text_hash").count().filter("count > 1")
+    copies = rows.groupBy(F.col(id).alias("id"), "text_hash").agg(
+        F.count(F.lit(1)).alias("__copies")
+    ).filter("__copies > 1")
     same = F.col("k.id").eqNullSafe(F.col("c.id")) & (F.col("k.text_hash") == F.col("c.text_hash"))
     kept = chosen.alias("k").join(copies.alias("c"), same, "left").select(
-        F.col("k.id").alias("__id"), F.col("k.text_hash").alias("__h"), "count"
+        F.col("k.id").alias("__id"), F.col("k.text_hash").alias("__h"), "__copies"
     )
     match = F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
     found = df.join(kept, match)
-    single = found.filter("count is null").select(df.columns)
+    single = found.filter("__copies is null").select(df.columns)
     # Several equal rows: any one of them, as nothing tells them apart.
-    repeated = found.filter("count is not null").select(df.columns)
+    repeated = found.filter("__copies is not null").select(df.columns)
     return single.unionByName(repeated.dropDuplicates([id, text]))
