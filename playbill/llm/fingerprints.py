@@ -30,6 +30,7 @@ SHINGLE_WORDS = 3
 #: (first bit, bits) of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MOST_COMPARED = 64
+LONG_WORD = 6
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, a fixed value of the code
 GOLAY_BITS, GOLAY_DATA = 23, 12
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -207,9 +208,13 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
 
 
 def _word_fingerprint(text: str) -> int:
-    """The bits set in over half of the hashes of the different words; few edits move few bits."""
+    """The bits set in over half of the hashes of the different words; few edits move few bits.
+
+    Short words, which most documents of a language share, count only where there are no others.
+    """
     parts = set(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
-    return _majority([xxhash.xxh64_intdigest(w, SEED) for w in parts])
+    rare = [w for w in parts if len(w) >= LONG_WORD] or parts
+    return _majority([xxhash.xxh64_intdigest(w, SEED) for w in rare])
 
 
 def both_fingerprints(df: DataFrame, id: str, text: str) -> DataFrame:
@@ -307,7 +312,7 @@ def similar_links(
     first compared with one of them, and those that are linked to it stand back, for some rounds
     with another one each; what is left of such keys is compared pair by pair.
     """
-    close = F.expr("bit_count(a_fp ^ b_fp) <= 22 and bit_count(a_word ^ b_word) <= 14")
+    close = F.expr("bit_count(a_fp ^ b_fp) <= 16 and bit_count(a_word ^ b_word) <= 12")
     alive, links = nodes, None
     for turn in range(rounds + 1):
         keys = word_keys(alive)

@@ -127,9 +127,8 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def fit(rows: Sequence[tuple], epochs: int = 12, seed: int = 7) -> Machine:
-    """Fit on (buckets, statistics, label) by logistic loss and Adam steps on small batches."""
-    width = len(rows[0][1]) if rows else len(STATISTICS)
+def fit(rows: Sequence[tuple], width: int, epochs: int = 12, seed: int = 7) -> Machine:
+    """Fit on (buckets, ``width`` statistics, label) by logistic loss and small Adam steps."""
     size = BUCKETS + width * BINS
     labels = np.array([r[2] for r in rows], float)
     share = labels.mean() if len(rows) else 0.5
@@ -222,7 +221,8 @@ def train(
         [
             (np.array(got[i]["buckets"], int), got[i]["stats"] + got[i]["__meta"], got[i]["__label"])
             for i in keep
-        ]
+        ],
+        len(STATISTICS) + len(metadata),
     )
 
 
