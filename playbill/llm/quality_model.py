@@ -203,7 +203,9 @@ def train(
     rows = df.select(id, text, _with_metadata(df, metadata).alias("__meta"))
     # The chosen rows are most_rows pairs of numbers at most.
     rows = rows.join(F.broadcast(chosen), F.col(id) == F.col("__id"))
-    rows = rows.select("__label", "__meta", text)
+    # An id that repeats is learnt from once, so the rows stay as few as the chosen ones.
+    first = F.min(F.struct("__label", F.col(text).alias("__whole"), "__meta")).alias("r")
+    rows = rows.groupBy("__id").agg(first).select("r.*")
 
     def run(texts):
         flat, sizes, stats = word_buckets(texts)
@@ -211,17 +213,12 @@ def train(
         return None, [parts, list(stats)]
 
     found = map_texts(
-        rows, ["__label", "__meta"], text, run, "buckets array<short>, stats array<double>"
+        rows, ["__label", "__meta"], "__whole", run, "buckets array<short>, stats array<double>"
     )
     got = found.toArrow().to_pylist()
-    # Repeated rows of an id could exceed the bound, and partitions arrive in any order.
-    got.sort(key=lambda r: (r["__label"], r["stats"], r["buckets"]))
-    keep = np.random.default_rng(1).permutation(len(got))[:most_rows]
+    got.sort(key=lambda r: (r["__label"], r["stats"], r["buckets"]))  # partitions come in any order
     return fit(
-        [
-            (np.array(got[i]["buckets"], int), got[i]["stats"] + got[i]["__meta"], got[i]["__label"])
-            for i in keep
-        ],
+        [(np.array(r["buckets"], int), r["stats"] + r["__meta"], r["__label"]) for r in got],
         len(STATISTICS) + len(metadata),
     )
 
