@@ -16,7 +16,7 @@ import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from playbill.llm.support import WordTable, cached, map_texts, split_by
+from playbill.llm.support import WordTable, cached, map_texts
 
 SPACE = "▁"
 CODE_POINTS = 0x110000

@@ -186,8 +186,3 @@ class WordTable:
         shift = np.repeat(self.starts[at] - ends + sizes, sizes)
         shift += np.arange(len(shift))
         return self.flat[shift], sizes
-
-
-def split_by(values: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
-    """Cut one array into pieces of the given sizes."""
-    return np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
