@@ -70,16 +70,24 @@ def write_rollup(state: DataFrame, path: str) -> None:
     _write(state, path)
 
 
-def write_leaderboard(top: DataFrame, path: str) -> None:
+def leaderboard_layout(top: DataFrame) -> DataFrame:
     """Leaderboard rows in global order, so one type's best rows are next to each other."""
-    ordered = top.orderBy("title_type", F.desc("average_rating"), F.desc("num_votes"), "tconst")
-    _write(ordered, path)
+    return top.orderBy("title_type", F.desc("average_rating"), F.desc("num_votes"), "tconst")
 
 
-def write_by_genre(titles: DataFrame, path: str) -> None:
-    """Title-genre rows: genre folders, rows sorted by type and year."""
+def genre_layout(titles: DataFrame) -> DataFrame:
+    """Title-genre rows spread by genre, type and year, sorted by type and year."""
     spread = titles.hint("rebalance", "genre", "title_type", "start_year")
-    ordered = spread.sortWithinPartitions(
+    return spread.sortWithinPartitions(
         "genre", "title_type", F.coalesce("start_year", F.lit(0)), "tconst"
     )
-    _write(ordered, path, ("genre",))
+
+
+def write_leaderboard(top: DataFrame, path: str) -> None:
+    """The leaderboard in its layout."""
+    _write(leaderboard_layout(top), path)
+
+
+def write_by_genre(titles: DataFrame, path: str) -> None:
+    """Title-genre rows in their layout: genre folders."""
+    _write(genre_layout(titles), path, ("genre",))

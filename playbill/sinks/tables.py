@@ -9,7 +9,12 @@ from playbill.schemas import (
     TITLES_BY_GENRE,
     TOP_RATED,
 )
-from playbill.sinks.folders import serving_layout, serving_rows
+from playbill.sinks.folders import (
+    genre_layout,
+    leaderboard_layout,
+    serving_layout,
+    serving_rows,
+)
 
 # Table names and what they are partitioned by.
 TABLES = {
@@ -44,3 +49,13 @@ def load_table(df: DataFrame, table: str) -> None:
 def load_titles(df: DataFrame, table: str) -> None:
     """Replace the rows of a serving table in the catalog, in the serving layout."""
     load_table(serving_layout(serving_rows(df.select(ENRICHED.fieldNames()))), table)
+
+
+def load_leaderboard(top: DataFrame, table: str) -> None:
+    """Replace the rows of a leaderboard table, in the leaderboard's order."""
+    load_table(leaderboard_layout(top), table)
+
+
+def load_by_genre(titles: DataFrame, table: str) -> None:
+    """Replace the title-genre rows of a table, in their layout."""
+    load_table(genre_layout(titles), table)

@@ -406,6 +406,8 @@ from wide
     "snk_rollup_roundtrip": _ROLLUP,
     "snk_catalog_titles": "select * from served",
     "snk_catalog_rollup": _ROLLUP,
+    "snk_catalog_top_rated": _TOP_RATED,
+    "snk_catalog_by_genre": _BY_GENRE,
     "cln_titles": "select * from titles",
     "cln_ratings": "select * from ratings",
     "cln_episodes": "select * from episodes",

@@ -14,6 +14,8 @@ from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
 from playbill.session import fresh_path
 from playbill.sinks import (
     ensure_tables,
+    load_by_genre,
+    load_leaderboard,
     load_table,
     load_titles,
     write_by_genre,
@@ -126,6 +128,18 @@ def catalog_rollup(spark, sf_dir):
     return spark.table(f"{database}.ratings_by_type_year")
 
 
+def catalog_top_rated(spark, sf_dir):
+    database = _database(spark)
+    load_leaderboard(marts.top_rated(serving(spark, sf_dir)), f"{database}.top_rated")
+    return spark.table(f"{database}.top_rated")
+
+
+def catalog_by_genre(spark, sf_dir):
+    database = _database(spark)
+    load_by_genre(marts.titles_by_genre(serving(spark, sf_dir)), f"{database}.titles_by_genre")
+    return spark.table(f"{database}.titles_by_genre")
+
+
 def lenient_int(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = F.col("l_extendedprice").cast("string")
@@ -281,6 +295,8 @@ STEPS = {
     "snk_rollup_roundtrip": rollup_roundtrip,
     "snk_catalog_titles": catalog_titles,
     "snk_catalog_rollup": catalog_rollup,
+    "snk_catalog_top_rated": catalog_top_rated,
+    "snk_catalog_by_genre": catalog_by_genre,
     "cln_titles": lambda spark, sf: cleaning.clean_titles(raw_titles(spark, sf), AS_OF_YEAR),
     "cln_ratings": lambda spark, sf: cleaning.clean_ratings(raw_ratings(spark, sf)),
     "cln_episodes": lambda spark, sf: cleaning.clean_episodes(raw_episodes(spark, sf)),
