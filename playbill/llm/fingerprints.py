@@ -338,9 +338,11 @@ def similar_links(
         links = found if links is None else links.unionByName(found)
         if turn == rounds or sizes.filter(F.col("n") > MOST_COMPARED).isEmpty():
             return links
-        # Only the smallest node of what is linked by now goes on.
+        # Nodes of such keys go on, of what is linked by now only the smallest one.
         gone = components(links).filter("node <> root").select("node")
-        alive = stored(nodes.join(gone, "node", "left_anti"), "alive")
+        open_keys = met.filter(F.col("n") > MOST_COMPARED).select("node").distinct()
+        alive = alive.join(open_keys, "node", "left_semi").join(gone, "node", "left_anti")
+        alive = stored(alive, "alive")
     return links
 
 
