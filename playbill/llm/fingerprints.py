@@ -17,20 +17,25 @@ part; their component is the smallest id reachable, null only if there is none.
 repeated rows share a component.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.support import cached, map_texts, stored
+from playbill.llm.support import bounded_slices, cached, map_texts, stored
 
 SEED = 42
 SHINGLE_WORDS = 3
 #: (first bit, bits) of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MOST_COMPARED = 64
-LONG_WORD = 6
+#: Shingles whose frequency is known, the least number met in a block of shingles, its size, and
+#: the nodes a task remembers; these decide how much is compared, not what is found.
+MOST_COMMON, LEAST_MET, SHINGLES_AT_ONCE, NODES_SEEN = 131_072, 4, 2_000_000, 100_000
+SLACK = 1e-6  # against rounding of bounds; the comparison itself has none
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, a fixed value of the code
 GOLAY_BITS, GOLAY_DATA = 23, 12
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -207,65 +212,113 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     return rows.join(found, "fp").select(id, "text_hash", digits, "component_id")
 
 
-def _word_fingerprint(text: str) -> int:
-    """The bits set in over half of the hashes of the different words; few edits move few bits.
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The hashes of the different word shingles, ascending; a shorter text is one shingle."""
+    parts = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+    if len(parts) < words:
+        shingles = [b" ".join(parts)]
+    else:
+        shingles = map(b" ".join, zip(*[parts[i:] for i in range(words)]))
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
 
-    Short words, which most documents of a language share, count only where there are no others.
-    """
-    parts = set(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
-    rare = [w for w in parts if len(w) >= LONG_WORD] or parts
-    return _majority([xxhash.xxh64_intdigest(w, SEED) for w in rare])
 
+def _set_hash(found: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), SEED)
 
-def both_fingerprints(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text_hash, fp, word_fp) of each document."""
+
+def shingle_nodes(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """(id, text_hash, node) of each document; texts with the same set of shingles are one node."""
     hashed = df.select(id, F.xxhash64(text).alias("text_hash"), F.col(text).alias("__whole"))
 
     def run(texts):
-        made = [[f(t) for t in texts] for f in (fingerprint, _word_fingerprint)]
-        return None, [np.array(m, np.uint64).view(np.int64) for m in made]
+        made = [_set_hash(shingle_set(t, words)) for t in texts]
+        return None, [np.array(made, np.uint64).view(np.int64)]
+
+    return map_texts(hashed, [id, "text_hash"], "__whole", run, "node long")
 
-    return map_texts(hashed, [id, "text_hash"], "__whole", run, "fp long, word_fp long")
 
+def common_shingles(df: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ascending; numbers of different documents) of at most MOST_COMMON shingles.
 
-def word_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node, fp, word_fp): for each two segments of word_fp, each two codeword indices."""
+    Counted in blocks, where those met fewer than LEAST_MET times are left out. The numbers only
+    put shingles in an order, and any order gives the same similar pairs.
+    """
 
     def run(batches):
+        held, size, seen = [], 0, set()
+
+        def counted():
+            value, number = np.unique(np.concatenate(held), return_counts=True)
+            often = number >= LEAST_MET
+            columns = [pa.array(value[often].view(np.int64)), pa.array(number[often])]
+            return pa.RecordBatch.from_arrays(columns, ["shingle", "number"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                values = part.column("word_fp").to_numpy(zero_copy_only=False)
-                row, key = _pair_keys(values.view(np.uint64))
-                own = [part.column(n).take(pa.array(row)) for n in ("node", "fp", "word_fp")]
+            for part in bounded_slices(batch, "__text"):
+                for t in part.column("__text").to_pylist():
+                    found = shingle_set(t or "", words)
+                    if (own := _set_hash(found)) not in seen:
+                        seen.add(own)
+                        held.append(found)
+                        size += len(found)
+                if size > SHINGLES_AT_ONCE:
+                    yield counted()
+                    held, size, seen = [], 0, set()
+        if held:
+            yield counted()
+
+    met = df.select(F.col(text).alias("__text")).mapInArrow(run, "shingle long, number long")
+    met = met.groupBy("shingle").agg(F.sum("number").alias("number"))
+    most = met.orderBy(F.desc("number"), "shingle").limit(MOST_COMMON).collect()
+    value = np.array([r.shingle for r in most], np.int64).view(np.uint64)
+    number = np.array([r.number for r in most], np.int64)
+    order = np.argsort(value)
+    return value[order], number[order]
+
+
+def prefix_keys(df: DataFrame, text: str, words: int, least: float) -> DataFrame:
+    """(key, node, n, at): the rarest shingles of each node with n of them, by their places.
+
+    Two sets with a similarity of ``least`` share one of their first n - ceil(least * n) + 1
+    shingles in any order that both follow.
+    """
+    common, number = common_shingles(df, text, words)
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for part in bounded_slices(batch, "__text"):
+                keys, nodes, sizes = [], [], []
+                for t in part.column("__text").to_pylist():
+                    found = shingle_set(t or "", words)
+                    node, n = _set_hash(found), len(found)
+                    if node in seen:
+                        continue
+                    if len(seen) < NODES_SEEN:
+                        seen.add(node)
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+                        often = np.where(common[at] == found, number[at], 0)
+                        found = found[np.argsort(often, kind="stable")]
+                    keys.append(found[: n - math.ceil(least * n - SLACK) + 1])
+                    nodes.append(node)
+                    sizes.append(n)
+                if not keys:
+                    continue
+                each = [len(k) for k in keys]
+                at = np.concatenate([np.arange(n, dtype=np.int32) for n in each])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), *own], ["key", "node", "fp", "word_fp"]
+                    [
+                        pa.array(np.concatenate(keys).view(np.int64)),
+                        pa.array(np.repeat(np.array(nodes, np.uint64).view(np.int64), each)),
+                        pa.array(np.repeat(np.array(sizes, np.int32), each)),
+                        pa.array(at),
+                    ],
+                    ["key", "node", "n", "at"],
                 )
 
-    schema = "key long, node long, fp long, word_fp long"
-    return nodes.select("node", "fp", "word_fp").mapInArrow(run, schema)
-
-
-def _pair_keys(values):
-    code = cached("golay", Golay)
-    found = []
-    for start, size in SEGMENTS:
-        segment = (values >> np.uint64(start)) & np.uint64((1 << size) - 1)
-        row, index = code.indices(segment.astype(np.int64))  # by row
-        first = np.searchsorted(row, np.arange(len(values)))
-        found.append((row, index, first, np.bincount(row, minlength=len(values))))
-    rows, keys = [], []
-    for i in range(len(SEGMENTS)):
-        for j in range(i):
-            row, index, _, _ = found[i]
-            _, other, first, count = found[j]
-            again = count[row]
-            ends = np.cumsum(again)
-            at = np.repeat(first[row] - ends + again, again) + np.arange(again.sum())
-            rows.append(np.repeat(row, again))
-            pair = (i * len(SEGMENTS) + j) << 2 * GOLAY_DATA
-            keys.append(pair | np.repeat(index, again) << GOLAY_DATA | other[at])
-    return np.concatenate(rows), np.concatenate(keys)
+    source = df.select(F.col(text).alias("__text"))
+    return source.mapInArrow(run, "key long, node long, n int, at int")
 
 
 def similarity(a: str, b: str, words: int) -> float:
@@ -278,17 +331,19 @@ def similarity(a: str, b: str, words: int) -> float:
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
 
 
-def _verified(pairs, nodes, df, id, text, words, least):
-    """Those pairs of nodes (a, b) whose texts are similar enough."""
-    pairs = stored(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    places = stored(nodes.join(asked, "node").select("node", "id", "text_hash"), "asked")
+def _texts_of(asked, nodes, df, id, text):
+    """(node, t): a text of each node asked for."""
+    places = nodes.join(asked, "node", "left_semi").select("node", "id", "text_hash")
     texts = df.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
     same = F.col("p.id").eqNullSafe(F.col("d.id")) & (F.col("p.text_hash") == F.col("d.text_hash"))
     whole = texts.alias("d").join(places.alias("p"), same).select("node", "t")
-    whole = stored(whole.groupBy("node").agg(F.first("t").alias("t")), "asked-texts")
-    left = whole.select(F.col("node").alias("a"), F.col("t").alias("left"))
-    right = whole.select(F.col("node").alias("b"), F.col("t").alias("right"))
+    return stored(whole.groupBy("node").agg(F.first("t").alias("t")), "asked-texts")
+
+
+def _verified(pairs, texts, words, least):
+    """Those pairs of nodes (a, b) whose texts are similar enough."""
+    left = texts.select(F.col("node").alias("a"), F.col("t").alias("left"))
+    right = texts.select(F.col("node").alias("b"), F.col("t").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
     def run(batches):
@@ -300,49 +355,56 @@ def _verified(pairs, nodes, df, id, text, words, least):
             ]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return stored(both.mapInArrow(run, "a long, b long"), "similar")
 
 
 def similar_links(
-    nodes: DataFrame, df: DataFrame, id: str, text: str, words: int, least: float, rounds: int = 3
+    nodes: DataFrame, df: DataFrame, id: str, text: str, words: int, least: float, rounds: int = 4
 ) -> DataFrame:
-    """(a, b): verified links between nodes (node, id, text_hash, fp, word_fp).
+    """(a, b): verified links that join all nodes (node, id, text_hash) with similar texts.
 
     Nodes that share a key are compared. Where a key has more than MOST_COMPARED nodes, each is
-    first compared with one of them, and those that are linked to it stand back, for some rounds
-    with another one each; what is left of such keys is compared pair by pair.
+    first compared with one of them, for some rounds with another one each; then all those that
+    are not yet joined, by whatever links, are compared pair by pair. Only pairs whose nodes are
+    joined already go without a comparison, which changes no group.
     """
-    close = F.expr("bit_count(a_fp ^ b_fp) <= 16 and bit_count(a_word ^ b_word) <= 12")
-    alive, links = nodes, None
+    keys = prefix_keys(df, text, words, least).repartition("key").dropDuplicates(["key", "node"])
+    number = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    met = stored(keys.withColumn("members", number).filter("members > 1"), "prefix-keys")
+    # Of a pair's shared shingles, none comes before the first one, so places bound the overlap.
+    needed = f"ceil({least / (1 + least)!r}D * (a.n + b.n) - {SLACK!r}D)"
+    close = F.expr(f"1 + least(a.n - a.at - 1, b.n - b.at - 1) >= {needed}")
+    ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
+
+    def every(some, condition):
+        both = some.alias("a").join(some.alias("b"), "key").filter(condition)
+        return both.filter(F.expr("a.node < b.node") & close).select(*ends)
+
+    def stars(some, turn):
+        # An early place means few shingles of its own, as in the text that others are copies of.
+        first = F.expr("at div 8").alias("early")
+        one = F.min(F.struct(first, F.xxhash64("node", F.lit(turn)), "node", "n", "at", "root"))
+        ones = some.groupBy("key").agg(one.alias("one")).select("key", "one.*")
+        both = ones.alias("a").join(some.alias("b"), "key").filter("a.root <> b.root")
+        return both.filter(close).select(*ends)
+
+    few = every(met.filter(F.col("members") <= MOST_COMPARED), F.lit(True))
+    pairs = stored(few.distinct(), "pairs")
+    many = stored(met.filter(F.col("members") > MOST_COMPARED).drop("members"), "large-keys")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    texts = _texts_of(asked.union(many.select("node")).distinct(), nodes, df, id, text)
+    links = _verified(pairs, texts, words, least)
     for turn in range(rounds + 1):
-        keys = word_keys(alive)
-        sizes = keys.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "fp", "word_fp")).alias("one"),
-        )
-        sizes = stored(sizes.filter("n > 1"), "word-key-sizes")
-        met = keys.join(sizes, "key")
-        hot = (F.col("n") > MOST_COMPARED) if turn < rounds else F.lit(False)
-        named = lambda p: [F.col(c).alias(f"{p}_{n}") for c, n in
-                           (("node", "node"), ("fp", "fp"), ("word_fp", "word"))]
-        some = stored(met.filter(~hot).select("key", "node", "fp", "word_fp"), "word-keys")
-        every = some.select("key", *named("a")).join(some.select("key", *named("b")), "key")
-        every = every.filter(F.col("a_node") < F.col("b_node"))
-        one = met.filter(hot).select(
-            "key", F.col("one.node").alias("a_node"), F.col("one.fp").alias("a_fp"),
-            F.col("one.word_fp").alias("a_word"), *named("b"),
-        ).filter("a_node <> b_node")
-        pairs = every.unionByName(one).filter(close)
-        pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
-        found = stored(_verified(pairs.distinct(), nodes, df, id, text, words, least), "similar")
-        links = found if links is None else links.unionByName(found)
-        if turn == rounds or sizes.filter(F.col("n") > MOST_COMPARED).isEmpty():
-            return links
-        # Nodes of such keys go on, of what is linked by now only the smallest one.
-        gone = components(links).filter("node <> root").select("node")
-        open_keys = met.filter(F.col("n") > MOST_COMPARED).select("node").distinct()
-        alive = alive.join(open_keys, "node", "left_semi").join(gone, "node", "left_anti")
-        alive = stored(alive, "alive")
+        if many.isEmpty():
+            break
+        root = components(links).select("node", "root")
+        some = many.drop("root").join(root, "node", "left")
+        some = stored(some.withColumn("root", F.coalesce("root", "node")), "rooted-keys")
+        apart = some.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        many = stored(some.join(apart.filter("low < high").select("key"), "key"), "large-keys")
+        pairs = stars(many, turn) if turn < rounds else every(many, F.expr("a.root <> b.root"))
+        found = _verified(stored(pairs.distinct(), "pairs"), texts, words, least)
+        links = links.unionByName(found)
     return links
 
 
@@ -355,17 +417,15 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``df`` with one document of each group of near-duplicates left.
 
-    Documents belong together whose fingerprints are linked, or whose sets of ``words``-word
-    shingles have a similarity of ``least``. The row with the smallest id stays; nulls come last,
-    rows with equal ids are told apart by their text, and equal rows are one.
+    Documents belong together whose sets of ``words``-word shingles have a similarity of ``least``,
+    directly or through others. All such pairs count. Close fingerprints alone do not join
+    documents here: they hold for some texts below ``least``, and those above are found anyway.
+    The row with the smallest id stays; nulls come last, rows with equal ids are told apart by
+    their text, and equal rows are one.
     """
-    rows = stored(both_fingerprints(df, id, text), "fingerprints")
-    place = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), "text_hash", "word_fp")
-    values = stored(rows.groupBy("fp").agg(F.min(place).alias("place")), "values")
-    root = components(links(values)).select(F.col("node").alias("fp"), "root")
-    rooted = values.join(root, "fp", "left").withColumn("node", F.coalesce("root", "fp"))
-    nodes = rooted.groupBy("node").agg(F.min(F.struct("place", "fp")).alias("first"))
-    nodes = stored(nodes.select("node", "first.place.*", "first.fp"), "nodes")
+    rows = stored(shingle_nodes(df, id, text, words), "shingle-nodes")
+    place = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), "text_hash")
+    nodes = stored(rows.groupBy("node").agg(F.min(place).alias("p")).select("node", "p.*"), "nodes")
     more = components(similar_links(nodes, df, id, text, words, least))
     whole = nodes.join(more, "node", "left").withColumn("group", F.coalesce("root", "node"))
     first = F.min(F.struct("no_id", "id", "text_hash")).alias("kept")

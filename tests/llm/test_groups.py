@@ -131,6 +131,43 @@ def test_near_copies_with_a_few_edits_are_found(spark, monkeypatch, most):
     assert len(found & set(range(len(texts)))) <= 1.1 * len(expected)
 
 
+def kept_by_brute_force(texts):
+    """The first text of each component of similar texts."""
+    def shingles(t):
+        w = t.encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = [shingles(t) for t in texts]
+    linked = lambda a, b: len(a & b) / len(a | b) >= 0.8
+    return set(plain_components(sets, linked))
+
+
+def kept_ids(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r.doc_id for r in fingerprints.one_of_each(docs).collect())
+
+
+def edited(rng, words, edits):
+    copy = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        copy[at] = made_text(rng, 1)
+    return copy
+
+
+def test_a_hub_and_a_chain_of_hundreds_of_copies(spark):
+    rng = random.Random(21)
+    base = made_text(rng, 400).split()
+    hub = [edited(rng, base, 8) for _ in range(250)]  # similar to the base, not to each other
+    hub.insert(100, base)
+    chain = [made_text(rng, 300).split()]
+    for _ in range(250):  # each one is similar to the next few only
+        chain.append(edited(rng, chain[-1], 3))
+    texts = [" ".join(t) for t in hub + chain] + [made_text(rng, 300) for _ in range(5)]
+    expected = kept_by_brute_force(texts)
+    assert len(expected) < 20
+    assert kept_ids(spark, texts) == sorted(expected)
+
+
 PAGES = "page_id long, url string, html string, first_id int, digest string, payload int"
 
 
