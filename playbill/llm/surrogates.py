@@ -55,7 +55,8 @@ WORD = r"\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}?\p{Ll}+)*"
 _TITLE = "|".join(TITLES_M + TITLES_F + TITLES_N)
 _GIVEN = "|".join(GIVEN_M + GIVEN_F)
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+\p{L}\p{M}\p{N}-])[A-Za-z0-9._%+\p{L}\p{M}\p{N}-]++"
+    r"@(?:[A-Za-z0-9\p{L}\p{M}\p{N}-]+\.)+(?:[A-Za-z]{2,}|[\p{L}\p{M}]{2,})",
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d|[A-Za-z_])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\w+])(?:\d{4}(?<gap>[ -]?)\d{4}\k<gap>\d{4}\k<gap>\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\w)",
@@ -175,7 +176,9 @@ def _name(kind: Column, written: Column, stream: Column, tries: Column) -> Colum
 def _surrogate(kind: Column, plain: Column, written: Column, tries: Column, key: str) -> Column:
     secret = F.concat_ws("|", F.lit(key), kind, plain, tries.cast("string"))
     stream = F.sha2(secret.cast("binary"), 512)
-    at = F.concat(_letters(F.substring_index(written, "@", 1), stream, F.lit(False)), F.lit("@"))
+    # Letters and digits beyond ASCII become letters; small first, as in the normal form.
+    local = F.regexp_replace(F.lower(F.substring_index(written, "@", 1)), r"[^\x00-\x7F]", "x")
+    at = F.concat(_letters(local, stream, F.lit(False)), F.lit("@"))
     place = _letters(F.lit("aaaaaa"), F.reverse(stream), F.lit(False))
     email = F.lower(F.concat(at, place, F.lit(".example.org")))
     octets = [_byte(stream, F.lit(0)) % 223 + 1, *[_byte(stream, F.lit(i)) for i in (1, 2, 3)]]

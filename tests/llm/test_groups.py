@@ -313,6 +313,18 @@ def test_surrogates(spark):
     assert other[0] != found[0]
 
 
+def test_addresses_in_any_script_are_replaced_whole(spark):
+    texts = ["an müller.34@mail.example, dann", "an MÜLLER.34@mail.example, dann",
+             "an иван٣@bücher.example, dann", "an иван@почта.рф, dann"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [r.text for r in surrogates.replace_entities(docs, "k").orderBy("doc_id").collect()]
+    import re
+
+    for t in found:
+        assert re.fullmatch(r"an [a-z]+(\.\d\d)?@[a-z]+\.example\.org, dann", t), t
+    assert found[0] == found[1] and found[0][:5] != "an mü"
+
+
 def test_colliding_surrogates_are_made_anew(spark, monkeypatch):
     monkeypatch.setitem(surrogates.SYLLABLES, "latin", ("ba", "ko"))
     rng = random.Random(9)
