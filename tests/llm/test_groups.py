@@ -168,6 +168,22 @@ def test_a_hub_and_a_chain_of_hundreds_of_copies(spark):
     assert kept_ids(spark, texts) == sorted(expected)
 
 
+def test_similar_texts_are_found_whatever_the_edit(spark):
+    rng = random.Random(31)
+    texts = []
+    for n in (60, 150, 400):
+        for share in (0.10, 0.15, 0.19):
+            for _ in range(3):
+                words = made_text(rng, n).split()
+                size = int(share * n)
+                at = rng.randrange(n - size)
+                other = made_text(rng, size).split()
+                block = words[:at] + other[: size // 2] + words[at + size // 2 :]
+                texts += [" ".join(t) for t in (words, words + other, block)]
+                texts.append(" ".join(words[: n - size]))
+    assert kept_ids(spark, texts) == sorted(kept_by_brute_force(texts))
+
+
 PAGES = "page_id long, url string, html string, first_id int, digest string, payload int"
 
 
