@@ -184,6 +184,19 @@ def test_similar_texts_are_found_whatever_the_edit(spark):
     assert kept_ids(spark, texts) == sorted(kept_by_brute_force(texts))
 
 
+def test_close_fingerprints_do_not_hide_other_texts(spark):
+    rng = random.Random(41)
+    often = (made_text(rng, 9) + " ") * 120
+    one, two = made_text(rng, 60), made_text(rng, 60)
+    first, second = often + one, often + two
+    far = fingerprints.fingerprint(first) ^ fingerprints.fingerprint(second)
+    assert bin(far).count("1") <= 2
+    tail = second[-len(two) - len(often) // 60 :]  # similar to the second one only
+    texts = [first, second, tail]
+    assert sorted(kept_by_brute_force(texts)) == [0, 1]
+    assert kept_ids(spark, texts) == [0, 1]
+
+
 PAGES = "page_id long, url string, html string, first_id int, digest string, payload int"
 
 
