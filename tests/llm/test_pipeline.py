@@ -4,7 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from playbill.llm.support import table
+from playbill.llm.support import stored, table
+from llm.test_groups import kept_by_brute_force
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,6 +27,19 @@ def test_pipeline_packs_what_the_stages_kept(spark):
     assert (sums == found.groupby("doc_id").doc_tokens.first()).all()
 
 
+def test_near_duplicates_in_the_pipeline_equal_brute_force(spark):
+    docs = table(spark, SF_DIR, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "SimHash near-dedup":
+            break
+        docs = stage(spark, docs, SF_DIR)
+    docs = stored(docs, "before-near-duplicates")
+    rows = docs.orderBy("doc_id").select("doc_id", "text").collect()
+    kept = sorted(rows[i].doc_id for i in kept_by_brute_force([r.text or "" for r in rows]))
+    assert 0 < len(kept) < len(rows)
+    assert sorted(r.doc_id for r in stage(spark, docs, SF_DIR).collect()) == kept
+
+
 @pytest.mark.parametrize("name", sorted(contract.LLM_QUERIES))
 def test_registered_queries_run(spark, name):
     assert contract.LLM_QUERIES[name](spark, SF_DIR).count() > 0
