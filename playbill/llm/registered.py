@@ -1,8 +1,10 @@
 """The registered queries of this subpackage, with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from playbill.llm import (
+    fill_in_middle,
     fingerprints,
     guess_cost,
     label_shards,
@@ -12,7 +14,9 @@ from playbill.llm import (
     rule_cascade,
     surrogates,
     threshold_search,
+    token_files,
     warc,
+    whitening,
 )
 from playbill.llm.support import table
 
@@ -64,6 +68,26 @@ def op10_rules(spark, sf_dir):
     return rule_cascade.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark, sf_dir):
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op12_whitening(spark, sf_dir):
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # A deviation beyond 64 bits fails the job (ANSI cast) instead of wrapping around.
+    return made.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_factorisation": op2_factorisation,
@@ -75,6 +99,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_shards": op9_shards,
     "op10_rules": op10_rules,
+    "op11_token_files": op11_token_files,
+    "op12_whitening": op12_whitening,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _RULES = """
@@ -158,5 +185,37 @@ with listed as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not coalesce({_RULES}, false) as kept
 from judged
+""",
+    "op13_fill_in_middle": """
+with hashed as (
+    select doc_id, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n,
+           sha256('1:' || coalesce(cast(doc_id as varchar), '')) as digits
+    from documents
+), numbers as (
+    select *, cast('0x' || substr(digits, 1, 8) as bigint) % (n + 1) as p1,
+           cast('0x' || substr(digits, 9, 8) as bigint) % (n + 1) as p2,
+           cast('0x' || substr(digits, 17, 8) as bigint) % 100 as h3,
+           cast('0x' || substr(digits, 25, 8) as bigint) % 100 as h4
+    from hashed
+), formed as (
+    select *, least(p1, p2) as a, greatest(p1, p2) as b,
+           case when n = 0 or contains(text, '<P>') or contains(text, '<S>')
+                     or contains(text, '<M>') or h3 >= 90 then 'plain'
+                when h4 < 20 then 'spm' else 'psm' end as form
+    from numbers
+), cut as (
+    select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle,
+           substr(text, b + 1) as suffix
+    from formed
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then text
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end)
+           as output_sha256,
+       sha256(case form when 'plain' then text else prefix || middle || suffix end)
+           as restored_sha256
+from cut
 """,
 }
