@@ -47,10 +47,12 @@ HEAD = (
     "first_doc long, last_doc long"
 )
 SELECT_EVERY = 4096
-FILE_TOKENS = 16 * 1024 * 1024
+#: Bounds of a file. A reader's task holds one as a whole, some 8 MiB where ids take two bytes;
+#: executors with more memory take larger ones (``file_tokens``, ``task_bytes``).
+FILE_TOKENS = 4 * 1024 * 1024
 FILE_DOCS = 1024 * 1024
-#: Text that a task gets, about: each costs some seconds of tokenising.
-TASK_TEXT_BYTES = 32 * 1024 * 1024
+#: Text that a task gets, about.
+TASK_TEXT_BYTES = 16 * 1024 * 1024
 DOCUMENTS = "task long, chunk long, place long, doc_id long, local_start long, n_tokens long"
 
 
@@ -199,7 +201,8 @@ def file_bytes(task: int, chunk: int, doc_ids: list, sizes: list[int], ids: np.n
     text = json.dumps(head, separators=(",", ":")).encode().ljust(HEAD_BYTES)
     if len(text) != HEAD_BYTES:
         raise ValueError("the head is too long")
-    return b"".join((text, ids.astype(f"<u{width}").tobytes(), ends.to_bytes(), own.to_bytes()))
+    array = np.ascontiguousarray(ids, f"<u{width}").data
+    return b"".join((text, array, ends.to_bytes(), own.to_bytes()))
 
 
 def write_token_files(
@@ -231,6 +234,7 @@ def write_token_files(
 
         def content():
             made = file_bytes(task, chunk, doc_ids, sizes, np.concatenate(parts))
+            parts.clear()
             return pa.RecordBatch.from_pydict({"content": pa.array([made], pa.binary())})
 
         for batch in batches:
@@ -242,7 +246,8 @@ def write_token_files(
                         yield content()
                         chunk, held = chunk + 1, 0
                         doc_ids, sizes, parts = [], [], []
-                    ids = np.append(ids, end_id).astype(np.uint32)
+                    ids = np.append(ids, end_id)
+                    ids = ids.astype(np.uint16 if ids.max() < 1 << 16 else np.uint32)
                     doc_ids.append(doc_id)
                     sizes.append(len(ids))
                     parts.append(ids)
