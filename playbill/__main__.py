@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from playbill.plans.pipeline import build_lake, load_serving
 from playbill.plans.reports import REPORTS, report
 from playbill.session import build_session, clear_intermediates, size_shuffles
+from playbill.sinks.folders import LAYOUTS
 from playbill.sources import read_serving
+from playbill.versions import table_paths
 
 GZIP_FACTOR = 5
 
@@ -27,6 +29,7 @@ def _arguments():
     load.add_argument("--lake", required=True)
     load.add_argument("--serving", required=True)
     load.add_argument("--rollup")
+    load.add_argument("--layout", choices=sorted(LAYOUTS), default="years")
 
     show = jobs.add_parser("report", help="run a named report")
     show.add_argument("name", choices=sorted(REPORTS))
@@ -66,13 +69,13 @@ def main():
         show_rows(outcome.summary)
         show_rows(outcome.types)
     elif args.job == "load":
-        size_shuffles(spark, args.lake)
-        outcome = load_serving(spark, args.lake, args.serving, args.rollup)
+        size_shuffles(spark, *table_paths(spark, args.lake))
+        outcome = load_serving(spark, args.lake, args.serving, args.rollup, layout=args.layout)
         print(f"loaded {outcome.rows}")
         for frame in (outcome.types, outcome.partitions, outcome.recent, outcome.best_movies):
             show_rows(frame)
     else:
-        size_shuffles(spark, args.serving)
+        size_shuffles(spark, *table_paths(spark, args.serving))
         result = report(args.name, read_serving(spark, args.serving))
         if args.out:
             result.write.mode("overwrite").parquet(args.out)

@@ -6,12 +6,20 @@ from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from playbill import fixed_values as V
 from playbill.operators.cleaning import clean_episodes, clean_ratings, clean_titles, enrich
 from playbill.operators.marts import rollup_state, rollup_view
 from playbill.operators.quality import summary, type_summary
 from playbill.plans.reports import report
-from playbill.sinks import write_lake, write_rollup, write_serving
+from playbill.schemas import ROLLUP_STATE
+from playbill.sinks.folders import (
+    LAYOUTS,
+    bloom_options,
+    lake_layout,
+    serving_rows,
+)
 from playbill.sources import partition_summary, read_lake, read_raw, read_serving
+from playbill.versions import Store, table_rows
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -70,15 +78,18 @@ def build_lake(
     """Read, clean, join and write in one pass over the input, without caching.
 
     ``spread`` shares the rows of few big files (``.gz`` ones cannot be split) out over the
-    cluster. A failing job leaves the folder incomplete, as Spark clears it before it writes:
-    write to a new folder and switch readers over where the old lake has to survive.
+    cluster. ``lake`` is a store: the rows of the load before are what readers see until all new
+    ones are written, and stay so if the job fails.
     """
     names = ("titles", "ratings", "episodes")
     plain = read_raw(spark, raw_folder, suffix, spread)
     raw, read = zip(*[counted(df, f"{n} read") for df, n in zip(plain, names)])
     cleaned = _cleaned(*raw, as_of_year)
     cleaned, kept = zip(*[counted(df, f"{n} kept") for df, n in zip(cleaned, names)])
-    write_lake(enrich(*cleaned), lake)
+    store = Store(spark, lake)
+    base = store.snapshot()
+    folders = store.stage("lake", lake_layout(enrich(*cleaned)), V.LAKE_PARTITIONS)
+    store.commit(base, {"lake": folders})
     plain_kept = _cleaned(*plain, as_of_year)
     written = read_lake(spark, lake)
     return LakeOutcome(
@@ -106,19 +117,27 @@ def load_serving(
     lake: str,
     serving: str,
     rollup: str | None = None,
-    bloom_columns: tuple[str, ...] = (),
+    bloom_columns: tuple[str, ...] = ("tconst",),
+    layout: str = "years",
 ) -> LoadOutcome:
     """Lake to serving table, and the rollup from the serving table.
 
-    The table is always written whole: a title whose decade changed would stay in its old folder
-    if only the folders of the new rows were replaced.
+    Both are stores, whose rows of the load before stay readable until the new ones are written.
+    The table is written whole; ``refresh.apply_changes`` loads changes alone. ``layout`` is
+    ``years`` or ``ranking``, for skipping by year or by votes and rating.
 
     Titles without a year are loaded too, into decade 0. A failing file fails the load.
     """
-    write_serving(read_lake(spark, lake), serving, bloom_columns=bloom_columns)
+    store = Store(spark, serving)
+    base = store.snapshot()
+    rows = LAYOUTS[layout](serving_rows(read_lake(spark, lake)))
+    folders = store.stage("titles", rows, ("decade",), **bloom_options(bloom_columns))
+    store.commit(base, {"titles": folders})
     table = read_serving(spark, serving)
     if rollup:
-        write_rollup(rollup_state(table), rollup)
+        sums = Store(spark, rollup)
+        before = sums.snapshot()
+        sums.commit(before, {"rollup": sums.stage("rollup", rollup_state(table))})
     return LoadOutcome(
         rows=table.count(),
         types=report("l2", table),
@@ -129,5 +148,5 @@ def load_serving(
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rollup with its averages."""
-    return rollup_view(spark.read.parquet(path))
+    """The stored rollup with its averages, from a store or a plain folder."""
+    return rollup_view(table_rows(spark, path, "rollup", ROLLUP_STATE))

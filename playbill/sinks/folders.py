@@ -5,7 +5,7 @@ but adaptive execution splits a folder that holds a large share of all rows over
 and puts small ones together. Each task then writes sorted rows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill import fixed_values as V
@@ -27,13 +27,18 @@ def _write(df, path, partitions=(), refresh="full", options=None):
     writer.parquet(path)
 
 
+def lake_layout(df: DataFrame) -> DataFrame:
+    """Rows of the lake, those of a folder together."""
+    return df.hint("rebalance", *V.LAKE_PARTITIONS)
+
+
 def write_lake(df: DataFrame, path: str, refresh: str = "full") -> None:
     """The lake: folders by type and year. ``refresh='partitions'`` replaces only those given.
 
     Such rows must be all rows of their folders, and no key may have come from another folder,
     where its old row would stay.
     """
-    _write(df.hint("rebalance", *V.LAKE_PARTITIONS), path, V.LAKE_PARTITIONS, refresh)
+    _write(lake_layout(df), path, V.LAKE_PARTITIONS, refresh)
 
 
 def with_decade(df: DataFrame) -> DataFrame:
@@ -53,16 +58,58 @@ def serving_layout(rows: DataFrame) -> DataFrame:
     )
 
 
+def interleaved(*numbers: Column, bits: int = 8) -> Column:
+    """One number from the bits of several, the highest of each first.
+
+    Sorted by it, rows near to each other are near in each of the numbers (a Z-order).
+    """
+    made, at = F.lit(0), 0
+    for bit in range(bits):
+        for number in reversed(numbers):
+            own = F.shiftright(number, bit).bitwiseAND(F.lit(1))
+            made = made.bitwiseOR(F.shiftleft(own, at))
+            at += 1
+    return made
+
+
+def ranking_order() -> Column:
+    """Votes (eighths of a doubling) and rating (25ths) as one number of 16 bits; no rating: 0."""
+    votes = F.floor(8 * F.log2(F.coalesce("num_votes", F.lit(0)) + 1)).cast("int")
+    rating = F.floor(F.coalesce("average_rating", F.lit(0.0)) * 25).cast("int")
+    within = [F.least(F.greatest(n, F.lit(0)), F.lit(255)) for n in (votes, rating)]
+    return interleaved(*within)
+
+
+def ranking_layout(rows: DataFrame) -> DataFrame:
+    """Rows spread by decade, sorted by votes and rating together.
+
+    A row group then holds a narrow range of both, so that a filter by either, or by both, skips
+    most of them; ``serving_layout`` is for filters by type and year.
+    """
+    return rows.hint("rebalance", "decade").sortWithinPartitions(
+        "decade", ranking_order(), "title_type", "tconst"
+    )
+
+
+LAYOUTS = {"years": serving_layout, "ranking": ranking_layout}
+
+
+def bloom_options(columns: tuple[str, ...]) -> dict[str, str]:
+    """Writer options for whole-value Bloom filters, which hold back row groups without a value."""
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+
+
 def write_serving(
-    df: DataFrame, path: str, bloom_columns: tuple[str, ...] = ()
+    df: DataFrame, path: str, bloom_columns: tuple[str, ...] = (), layout: str = "years"
 ) -> None:
-    """The serving table: decade folders, rows sorted by type, year and key.
+    """The serving table: decade folders, rows sorted by type, year and key (layout ``years``) or
+    by votes and rating together (``ranking``).
 
     Sorting gives narrow min/max ranges per row group; ``bloom_columns`` adds whole-value bloom
     filters, e.g. for key look-ups.
     """
-    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_columns}
-    _write(serving_layout(serving_rows(df)), path, ("decade",), options=options)
+    rows = LAYOUTS[layout](serving_rows(df))
+    _write(rows, path, ("decade",), options=bloom_options(bloom_columns))
 
 
 def write_rollup(state: DataFrame, path: str) -> None:

@@ -5,18 +5,22 @@ from pyspark.sql import functions as F
 
 from playbill.functions import decade, readable_size
 from playbill.schemas import ENRICHED, SERVING, TITLES_BY_GENRE
+from playbill.versions import table_rows
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """The lake, with partition values typed by the schema instead of guessed from folders."""
-    return spark.read.schema(ENRICHED).parquet(path).select(ENRICHED.fieldNames())
+    """The lake, with partition values typed by the schema instead of guessed from folders.
+
+    ``path`` is a store, whose newest load is read, or a plain folder.
+    """
+    return table_rows(spark, path, "lake", ENRICHED).select(ENRICHED.fieldNames())
 
 
 def read_serving(
     spark: SparkSession, path: str, first_year: int | None = None, last_year: int | None = None
 ) -> DataFrame:
-    """The serving table; a year range also prunes its decade folders."""
-    table = spark.read.schema(SERVING).parquet(path)
+    """The serving table of a store or a plain folder; a year range also prunes decade folders."""
+    table = table_rows(spark, path, "titles", SERVING)
     return years_between(table, first_year, last_year)
 
 

@@ -80,7 +80,23 @@ served as (
 )
 """
 
-_STEPS = ", ".join([_INPUT, _TYPED, _VALID, _CLEAN, _WIDE])
+# The titles after a batch: a fortieth of them changed, another one removed.
+_NUMBER = "cast(substr(tconst, 4) as bigint)"
+_AFTER = f"""
+wide_after as (
+    select * replace (cast(coalesce(start_year, 1950) + 10 as integer) as start_year,
+                      cast(num_votes * 2 as integer) as num_votes, 'Drama,Moved' as genres)
+    from wide where {_NUMBER} % 40 = 0
+    union all
+    select * from wide where {_NUMBER} % 40 not in (0, 7)
+),
+served_after as (
+    select *, cast(floor(coalesce(start_year, 0) / 10) * 10 as integer) as "decade"
+    from wide_after
+)
+"""
+
+_STEPS = ", ".join([_INPUT, _TYPED, _VALID, _CLEAN, _WIDE, _AFTER])
 
 
 def _sql(body):
@@ -395,6 +411,21 @@ _STEPS_AND_TABLES = {
     "src_lake_one_type": "select * from wide where title_type = 'movie' and start_year >= 1990",
     "src_serving_years": "select * from served where start_year between 1995 and 2004",
     "snk_lake_roundtrip": "select * from wide",
+    "snk_refresh_not_switched": "select * from served",
+    "snk_changes_titles": "select * from served_after",
+    "snk_changes_years": "select * from served_after where start_year between 1995 and 2004",
+    "snk_ranking_layout": "select * from served where num_votes > 100000 and average_rating >= 8",
+    "mrt_rollup_changes": _ROLLUP.replace("from wide", "from wide_after"),
+    "mrt_by_genre_changes": _BY_GENRE.replace("from wide", "from wide_after"),
+    "mrt_top_rated_changes": _TOP_RATED.replace("from wide", "from wide_after"),
+    "mrt_board_changes": f"""
+select * from (
+    select *, cast(row_number() over (
+        partition by title_type order by average_rating desc, num_votes desc, tconst
+    ) as integer) as place
+    from ({_TOP_RATED.replace("from wide", "from wide_after")}) best
+) placed where place <= 100
+""",
     "snk_lake_refresh": """
 select * replace (case when title_type = 'movie' then upper(primary_title)
                        else primary_title end as primary_title)

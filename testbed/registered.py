@@ -9,6 +9,7 @@ from playbill import fixed_values as V
 from playbill import functions as P
 from playbill.operators import cleaning, marts, quality, shapes
 from playbill.plans.pipeline import build_lake, load_serving, read_rollup
+from playbill.plans.refresh import publish, read_mart
 from playbill.plans.reports import report
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
 from playbill.session import fresh_path
@@ -24,6 +25,7 @@ from playbill.sinks import (
     write_rollup,
     write_serving,
 )
+from playbill.sinks.folders import serving_rows
 from playbill.sources import (
     partition_summary,
     read_by_genre,
@@ -31,6 +33,7 @@ from playbill.sources import (
     read_lake,
     read_serving,
 )
+from playbill.versions import Store
 from testbed.catalog_fixture import (
     AS_OF_YEAR,
     raw_episodes,
@@ -39,7 +42,7 @@ from testbed.catalog_fixture import (
     raw_titles,
     write_delimited,
 )
-from testbed.stored import enriched, serving
+from testbed.stored import changed_store, changed_titles, enriched, serving
 
 
 def run_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +285,26 @@ def row_counts(spark, sf_dir):
     return spark.createDataFrame([*counts, ("wide", outcome.rows)], "step string, rows long")
 
 
+def refresh_not_switched(spark, sf_dir):
+    """What readers see while the next load is written: all rows of the one before."""
+    root = fresh_path(spark, "store")
+    titles = serving(spark, sf_dir).select(ENRICHED.fieldNames())
+    publish(spark, root, titles)
+    changed, _ = changed_titles(titles)
+    Store(spark, root).stage("titles", serving_rows(changed), ("decade",))
+    return read_serving(spark, root)
+
+
+def ranking_layout(spark, sf_dir):
+    path = fresh_path(spark, "serving")
+    write_serving(enriched(spark, sf_dir), path, ("tconst",), layout="ranking")
+    return read_serving(spark, path).filter("num_votes > 100000 and average_rating >= 8")
+
+
+def _mart_after_changes(name):
+    return lambda spark, sf: read_mart(spark, changed_store(spark, sf), name)
+
+
 STEPS = {
     "src_delimited_roundtrip": delimited_roundtrip,
     "src_gzip_roundtrip": gzip_roundtrip,
@@ -345,6 +368,18 @@ STEPS = {
     "fun_round": rounded_ties,
     "fun_readable_size": sizes,
     "mrt_recent_today": recent_today,
+    "snk_refresh_not_switched": refresh_not_switched,
+    "snk_changes_titles": lambda spark, sf: read_serving(spark, changed_store(spark, sf)),
+    "snk_changes_years": lambda spark, sf: read_serving(
+        spark, changed_store(spark, sf), 1995, 2004
+    ),
+    "snk_ranking_layout": ranking_layout,
+    "mrt_rollup_changes": _mart_after_changes("rollup"),
+    "mrt_by_genre_changes": _mart_after_changes("by_genre"),
+    "mrt_top_rated_changes": _mart_after_changes("top_rated"),
+    "mrt_board_changes": lambda spark, sf: read_mart(
+        spark, changed_store(spark, sf), "board", k=100
+    ),
     "job_gz_lake": gz_lake,
     "job_lake_and_load": lake_and_load,
     "job_row_counts": row_counts,
