@@ -14,28 +14,22 @@ no group grows with the data. Groups are linked by their smallest member.
 
 Null and empty texts have fingerprint zero and are linked like any other. Rows with a null id take
 part; their component is the smallest id reachable, null only if there is none. Copies, ties and
-repeated rows share a component.
+repeated rows share a component. An empty table gives no rows. Other columns may have any names.
 """
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.support import bounded_slices, cached, map_texts, stored
+from playbill.llm.support import cached, map_texts, stored
 
 SEED = 42
 SHINGLE_WORDS = 3
 #: (first bit, bits) of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MOST_COMPARED = 64
-#: Shingles whose frequency is known, the least number met in a block of shingles, its size, and
-#: the nodes a task remembers; these decide how much is compared, not what is found.
-MOST_COMMON, LEAST_MET, SHINGLES_AT_ONCE, NODES_SEEN = 131_072, 4, 2_000_000, 100_000
-SLACK = 1e-6  # against rounding of bounds; the comparison itself has none
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, a fixed value of the code
 GOLAY_BITS, GOLAY_DATA = 23, 12
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -199,247 +193,40 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_hash, fingerprint, component_id) of every document."""
+def _rooted(df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, fp) of each document, and (fp, first_id, root) of each fingerprint."""
     rows = stored(fingerprints(df, id, text), "fingerprints")
     values = stored(rows.groupBy("fp").agg(F.min(id).alias("first_id")), "values")
     root = components(links(values)).select(F.col("node").alias("fp"), "root")
     rooted = values.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = stored(rooted, "rooted")
+    return rows, stored(rooted, "rooted")
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text_hash, fingerprint, component_id) of every document."""
+    rows, rooted = _rooted(df, id, text)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = stored(rooted.join(first, "root").select("fp", "component_id"), "components")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(found, "fp").select(id, "text_hash", digits, "component_id")
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The hashes of the different word shingles, ascending; a shorter text is one shingle."""
-    parts = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    if len(parts) < words:
-        shingles = [b" ".join(parts)]
-    else:
-        shingles = map(b" ".join, zip(*[parts[i:] for i in range(words)]))
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
-
-
-def _set_hash(found: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), SEED)
-
-
-def shingle_nodes(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """(id, text_hash, node) of each document; texts with the same set of shingles are one node."""
-    hashed = df.select(id, F.xxhash64(text).alias("text_hash"), F.col(text).alias("__whole"))
-
-    def run(texts):
-        made = [_set_hash(shingle_set(t, words)) for t in texts]
-        return None, [np.array(made, np.uint64).view(np.int64)]
-
-    return map_texts(hashed, [id, "text_hash"], "__whole", run, "node long")
-
+def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` with one document of each group of ``near_duplicates`` left.
 
-def common_shingles(df: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ascending; numbers of different documents) of at most MOST_COMMON shingles.
-
-    Counted in blocks, where those met fewer than LEAST_MET times are left out. The numbers only
-    put shingles in an order, and any order gives the same similar pairs.
-    """
-
-    def run(batches):
-        held, size, seen = [], 0, set()
-
-        def counted():
-            value, number = np.unique(np.concatenate(held), return_counts=True)
-            often = number >= LEAST_MET
-            columns = [pa.array(value[often].view(np.int64)), pa.array(number[often])]
-            return pa.RecordBatch.from_arrays(columns, ["shingle", "number"])
-
-        for batch in batches:
-            for part in bounded_slices(batch, "__text"):
-                for t in part.column("__text").to_pylist():
-                    found = shingle_set(t or "", words)
-                    if (own := _set_hash(found)) not in seen:
-                        seen.add(own)
-                        held.append(found)
-                        size += len(found)
-                if size > SHINGLES_AT_ONCE:
-                    yield counted()
-                    held, size, seen = [], 0, set()
-        if held:
-            yield counted()
-
-    met = df.select(F.col(text).alias("__text")).mapInArrow(run, "shingle long, number long")
-    met = met.groupBy("shingle").agg(F.sum("number").alias("number"))
-    most = met.orderBy(F.desc("number"), "shingle").limit(MOST_COMMON).collect()
-    value = np.array([r.shingle for r in most], np.int64).view(np.uint64)
-    number = np.array([r.number for r in most], np.int64)
-    order = np.argsort(value)
-    return value[order], number[order]
-
-
-def prefix_keys(df: DataFrame, text: str, words: int, least: float) -> DataFrame:
-    """(key, node, n, at): the rarest shingles of each node with n of them, by their places.
-
-    Two sets with a similarity of ``least`` share one of their first n - ceil(least * n) + 1
-    shingles in any order that both follow.
-    """
-    common, number = common_shingles(df, text, words)
-
-    def run(batches):
-        seen = set()
-        for batch in batches:
-            for part in bounded_slices(batch, "__text"):
-                keys, nodes, sizes = [], [], []
-                for t in part.column("__text").to_pylist():
-                    found = shingle_set(t or "", words)
-                    node, n = _set_hash(found), len(found)
-                    if node in seen:
-                        continue
-                    if len(seen) < NODES_SEEN:
-                        seen.add(node)
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-                        often = np.where(common[at] == found, number[at], 0)
-                        found = found[np.argsort(often, kind="stable")]
-                    keys.append(found[: n - math.ceil(least * n - SLACK) + 1])
-                    nodes.append(node)
-                    sizes.append(n)
-                if not keys:
-                    continue
-                each = [len(k) for k in keys]
-                at = np.concatenate([np.arange(n, dtype=np.int32) for n in each])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys).view(np.int64)),
-                        pa.array(np.repeat(np.array(nodes, np.uint64).view(np.int64), each)),
-                        pa.array(np.repeat(np.array(sizes, np.int32), each)),
-                        pa.array(at),
-                    ],
-                    ["key", "node", "n", "at"],
-                )
-
-    source = df.select(F.col(text).alias("__text"))
-    return source.mapInArrow(run, "key long, node long, n int, at int")
-
-
-def similarity(a: str, b: str, words: int) -> float:
-    """Jaccard similarity of the sets of word shingles."""
-    sets = []
-    for text in (a, b):
-        parts = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-        last = max(1, len(parts) - words + 1)
-        sets.append({tuple(parts[i : i + words]) for i in range(last)})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def _texts_of(asked, nodes, df, id, text):
-    """(node, t): a text of each node asked for."""
-    places = nodes.join(asked, "node", "left_semi").select("node", "id", "text_hash")
-    texts = df.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
-    same = F.col("p.id").eqNullSafe(F.col("d.id")) & (F.col("p.text_hash") == F.col("d.text_hash"))
-    whole = texts.alias("d").join(places.alias("p"), same).select("node", "t")
-    return stored(whole.groupBy("node").agg(F.first("t").alias("t")), "asked-texts")
-
-
-def _verified(pairs, texts, words, least):
-    """Those pairs of nodes (a, b) whose texts are similar enough."""
-    left = texts.select(F.col("node").alias("a"), F.col("t").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("t").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-
-    def run(batches):
-        for batch in batches:
-            columns = [batch.column(n) for n in ("left", "right")]
-            near = [
-                similarity(x.as_py() or "", y.as_py() or "", words) >= least
-                for x, y in zip(*columns)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    return stored(both.mapInArrow(run, "a long, b long"), "similar")
-
-
-def similar_links(
-    nodes: DataFrame, df: DataFrame, id: str, text: str, words: int, least: float, rounds: int = 4
-) -> DataFrame:
-    """(a, b): verified links that join all nodes (node, id, text_hash) with similar texts.
-
-    Nodes that share a key are compared. Where a key has more than MOST_COMPARED nodes, each is
-    first compared with one of them, for some rounds with another one each; then all those that
-    are not yet joined, by whatever links, are compared pair by pair. Only pairs whose nodes are
-    joined already go without a comparison, which changes no group.
-    """
-    keys = prefix_keys(df, text, words, least).repartition("key").dropDuplicates(["key", "node"])
-    number = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    met = stored(keys.withColumn("members", number).filter("members > 1"), "prefix-keys")
-    # Of a pair's shared shingles, none comes before the first one, so places bound the overlap.
-    needed = f"ceil({least / (1 + least)!r}D * (a.n + b.n) - {SLACK!r}D)"
-    close = F.expr(f"1 + least(a.n - a.at - 1, b.n - b.at - 1) >= {needed}")
-    ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
-
-    def every(some, condition):
-        both = some.alias("a").join(some.alias("b"), "key").filter(condition)
-        return both.filter(F.expr("a.node < b.node") & close).select(*ends)
-
-    def stars(some, turn):
-        # An early place means few shingles of its own, as in the text that others are copies of.
-        first = F.expr("at div 8").alias("early")
-        one = F.min(F.struct(first, F.xxhash64("node", F.lit(turn)), "node", "n", "at", "root"))
-        ones = some.groupBy("key").agg(one.alias("one")).select("key", "one.*")
-        both = ones.alias("a").join(some.alias("b"), "key").filter("a.root <> b.root")
-        return both.filter(close).select(*ends)
-
-    few = every(met.filter(F.col("members") <= MOST_COMPARED), F.lit(True))
-    pairs = stored(few.distinct(), "pairs")
-    many = stored(met.filter(F.col("members") > MOST_COMPARED).drop("members"), "large-keys")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    texts = _texts_of(asked.union(many.select("node")).distinct(), nodes, df, id, text)
-    links = _verified(pairs, texts, words, least)
-    for turn in range(rounds + 1):
-        if many.isEmpty():
-            break
-        root = components(links).select("node", "root")
-        some = many.drop("root").join(root, "node", "left")
-        some = stored(some.withColumn("root", F.coalesce("root", "node")), "rooted-keys")
-        apart = some.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        many = stored(some.join(apart.filter("low < high").select("key"), "key"), "large-keys")
-        pairs = stars(many, turn) if turn < rounds else every(many, F.expr("a.root <> b.root"))
-        found = _verified(stored(pairs.distinct(), "pairs"), texts, words, least)
-        links = links.unionByName(found)
-    return links
-
-
-def one_of_each(
-    df: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    words: int = 5,
-    least: float = 0.8,
-) -> DataFrame:
-    """The rows of ``df`` with one document of each group of near-duplicates left.
-
-    Documents belong together whose sets of ``words``-word shingles have a similarity of ``least``,
-    directly or through others. All such pairs count. Close fingerprints alone do not join
-    documents here: they hold for some texts below ``least``, and those above are found anyway.
     The row with the smallest id stays; nulls come last, rows with equal ids are told apart by
     their text, and equal rows are one.
     """
-    rows = stored(shingle_nodes(df, id, text, words), "shingle-nodes")
+    rows, rooted = _rooted(df, id, text)
     place = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), "text_hash")
-    nodes = stored(rows.groupBy("node").agg(F.min(place).alias("p")).select("node", "p.*"), "nodes")
-    more = components(similar_links(nodes, df, id, text, words, least))
-    whole = nodes.join(more, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    first = F.min(F.struct("no_id", "id", "text_hash")).alias("kept")
-    chosen = stored(whole.groupBy("group").agg(first).select("kept.*"), "chosen")
-    copies = rows.groupBy(F.col(id).alias("id"), "text_hash").agg(
-        F.count(F.lit(1)).alias("__copies")
-    ).filter("__copies > 1")
-    same = F.col("k.id").eqNullSafe(F.col("c.id")) & (F.col("k.text_hash") == F.col("c.text_hash"))
-    kept = chosen.alias("k").join(copies.alias("c"), same, "left").select(
-        F.col("k.id").alias("__id"), F.col("k.text_hash").alias("__h"), "__copies"
-    )
-    match = F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
-    found = df.join(kept, match)
-    single = found.filter("__copies is null").select(df.columns)
-    # Several equal rows: any one of them, as nothing tells them apart.
-    repeated = found.filter("__copies is not null").select(df.columns)
-    return single.unionByName(repeated.dropDuplicates([id, text]))
+    firsts = rows.groupBy("fp").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("rows"))
+    groups = firsts.join(rooted.select("fp", "root"), "fp").groupBy("root")
+    chosen = stored(groups.agg(F.min("p").alias("p"), F.sum("rows").alias("rows")), "chosen")
+    # The columns of the input go along as one, so none of their names can clash.
+    whole = df.select(F.struct(*df.columns).alias("r"), F.col(id).alias("d"), F.xxhash64(text).alias("h"))
+    kept = chosen.select(F.col("p.id").alias("k"), F.col("p.text_hash").alias("t"), "rows")
+    found = whole.join(kept, F.col("d").eqNullSafe(F.col("k")) & (F.col("h") == F.col("t")))
+    alone = found.filter("rows = 1").select("r.*")
+    # Of several equal rows any one, as nothing tells them apart.
+    repeated = found.filter("rows > 1").dropDuplicates(["d", "h"]).select("r.*")
+    return alone.unionByName(repeated)

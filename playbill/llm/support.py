@@ -35,8 +35,13 @@ def process_cache() -> dict:
 
 
 def cached(key, build: Callable):
+    """What ``build`` makes, kept between the tasks of a worker until another key is asked for.
+
+    Workers outlive stages; with one thing kept, a stage has not also what the last one needed.
+    """
     kept = process_cache()
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]
 

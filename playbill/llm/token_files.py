@@ -51,6 +51,8 @@ SELECT_EVERY = 4096
 #: executors with more memory take larger ones (``file_tokens``, ``task_bytes``).
 FILE_TOKENS = 4 * 1024 * 1024
 FILE_DOCS = 1024 * 1024
+#: Words a task remembers the ids of, beside the files it holds.
+KEPT_WORDS = 250_000
 #: Text that a task gets, about.
 TASK_TEXT_BYTES = 16 * 1024 * 1024
 DOCUMENTS = "task long, chunk long, place long, doc_id long, local_start long, n_tokens long"
@@ -205,6 +207,12 @@ def file_bytes(task: int, chunk: int, doc_ids: list, sizes: list[int], ids: np.n
     return b"".join((text, array, ends.to_bytes(), own.to_bytes()))
 
 
+def _tokenizer(path: str) -> ByteBpe:
+    bpe = ByteBpe(path)
+    bpe.words.limit = KEPT_WORDS
+    return bpe
+
+
 def write_token_files(
     df: DataFrame,
     path: str,
@@ -228,7 +236,7 @@ def write_token_files(
     ordered = spread.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        bpe = cached(("byte_bpe", tokenizer), lambda: ByteBpe(tokenizer))
+        bpe = cached(("file_bpe", tokenizer), lambda: _tokenizer(tokenizer))
         task, chunk, held = TaskContext.get().partitionId(), 0, 0
         doc_ids, sizes, parts = [], [], []
 
