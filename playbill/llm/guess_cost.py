@@ -4,23 +4,33 @@ The patterns find assigned credentials, access keys and long hexadecimal runs. V
 after other credential words are then judged by how many guesses they would take: dynamic
 programming finds the cheapest way to cut a value into known words, dates, repeats, keyboard walks
 and spans of brute force. A value that costs at least ``10 ** least_guesses`` guesses is a secret.
+Known words are common parts of passwords, then the corpus' own words by the number of documents
+that hold them, of which at most ``MOST_WORDS`` go to the tasks.
 
 Offsets count code points, ends are exclusive. A null text is an empty one and has no secrets.
-Whole texts of any length are searched. Repeated rows are searched each for itself.
+Whole texts of any length are searched, in time linear in the text but for the values' own length.
+Repeated rows are searched each for itself. An empty table gives no rows. Other columns play no
+part, whatever their names.
 """
 
 import hashlib
 import math
 import re
-from itertools import pairwise
+from bisect import bisect_left
+from collections.abc import Mapping
+from itertools import accumulate, pairwise
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from playbill.llm.support import map_texts
 
 KINDS = ("assign", "access", "hex", "guess")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 LEAST_GUESSES = 8.0
+#: Words of the corpus that guessing knows: at most so many, of so many letters, each in at least
+#: so many documents. All documents are counted.
+MOST_WORDS, SHORTEST_WORD, LONGEST_WORD, LEAST_DOCUMENTS = 20_000, 3, 24, 3
 
 # Credential words before a value, and patterns of secrets.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -58,7 +68,6 @@ COMMON = (
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 
 RANKS = {w: i + 1 for i, w in enumerate(dict.fromkeys(COMMON))}
-LONGEST = max(map(len, RANKS))
 PLAIN = str.maketrans("@430!1$57", "aaeoiisst")
 DATE = re.compile(
     r"(?:19|20)\d\d|(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])"
@@ -91,7 +100,23 @@ def _alphabet(c: str) -> int:
     return 33
 
 
-def log_guesses(value: str) -> float:
+def ranked_words(df: DataFrame, text: str = "text", most: int = MOST_WORDS) -> dict[str, int]:
+    """The ranks of known words: common parts of passwords, then words of the whole corpus.
+
+    Words of letters alone, in lower case, by the number of documents they stand in.
+    """
+    letters = F.split(F.lower(F.col(text)), r"[^\p{L}]+")
+    word = F.explode(F.array_distinct(letters)).alias("word")
+    fits = F.length("word").between(SHORTEST_WORD, LONGEST_WORD)
+    counts = df.select(word).filter(fits).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.desc("n"), "word").limit(most)
+    ranks = dict(RANKS)
+    for row in often.collect():  # ``most`` rows
+        ranks.setdefault(row.word, len(ranks) + 1)
+    return ranks
+
+
+def log_guesses(value: str, ranks: Mapping[str, int] = RANKS) -> float:
     """log10 of the guesses the cheapest segmentation of a value takes.
 
     Each segment adds its own guesses and, as its place has to be guessed too, a factor of its
@@ -132,10 +157,10 @@ def log_guesses(value: str) -> float:
             count = parts[start] + 1
             options.append((best[start] + math.log10(guesses) + math.log10(count), count))
 
-        for size in range(3, min(LONGEST, end) + 1):
+        for size in range(SHORTEST_WORD, min(LONGEST_WORD, end) + 1):
             start = end - size
             for form, extra in ((low, 1), (plain, 2)):
-                rank = RANKS.get(form[start:end])
+                rank = ranks.get(form[start:end])
                 if rank:
                     add(start, rank * extra * _variations(value[start:end]))
                     break
@@ -168,19 +193,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guessed_spans(text: str, base, least_guesses: float) -> list[tuple[int, int, int]]:
-    """Costly credential values that no pattern has found."""
+def guessed_spans(
+    text: str, base, least_guesses: float, ranks: Mapping[str, int] = RANKS
+) -> list[tuple[int, int, int]]:
+    """Costly credential values that no pattern has found; ``base`` is in order."""
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return []
     found = []
+    starts = [s for s, _, _ in base]
+    reached = list(accumulate((e for _, _, e in base), max))  # the furthest end so far
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         while end > start and text[end - 1] in ".!?)]}":
             end -= 1
-        apart = all(end <= s or e <= start for s, _, e in base)
+        before = bisect_left(starts, end)
+        apart = not before or reached[before - 1] <= start
         if apart and end - start >= LEAST_VALUE:
-            if log_guesses(text[start:end]) >= least_guesses:
+            if log_guesses(text[start:end], ranks) >= least_guesses:
                 found.append((start, 3, end))
     return found
 
@@ -193,10 +223,13 @@ def secret_spans(
     df: DataFrame, id: str = "doc_id", text: str = "text", least_guesses: float = LEAST_GUESSES
 ) -> DataFrame:
     """Counts, a digest of the pattern spans, and all spans of every whole text."""
+    ranks = ranked_words(df, text)
 
     def run(texts):
         base = [base_spans(t) for t in texts]
-        every = [sorted(b + guessed_spans(t, b, least_guesses)) for t, b in zip(texts, base)]
+        every = [
+            sorted(b + guessed_spans(t, b, least_guesses, ranks)) for t, b in zip(texts, base)
+        ]
         counts = [[sum(k == kind for _, k, _ in b) for b in base] for kind in range(3)]
         return None, [
             *counts,

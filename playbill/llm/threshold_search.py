@@ -10,10 +10,12 @@ ids. Queries meet candidates in cells of bounded blocks, for each node of its ow
    the cutoff over the number of nodes: a score whose parts all stay below cannot reach it.
 3. Entries that not every node gave are resolved exactly from the whole vectors.
 
-Scores are exact integers, components are kept within +-2**26 after scaling. Ties go to the
-smaller id. Vectors that are null, empty or hold null or non-finite components take no part, nor
-rows with a null id or vectors of another length than most have; an empty table gives no rows.
-Repeated rows with the same id and vector count as one.
+Scores are exact integers: by doubles where these hold every sum, else by 64 bits or by integers
+of any size. A scaled component or a sum that 64 bits do not hold is an error, and so are vectors
+of different lengths; neither gives a wrong score. Ties go to the smaller id. Vectors that are
+null, empty or hold null or non-finite components take no part, nor rows with a null id; an empty
+table gives no rows. Repeated rows with the same id and vector count as one. Other columns play no
+part, whatever their names.
 """
 
 import numpy as np
@@ -30,8 +32,8 @@ SEEDS = 16
 SCALE = 256
 QUERIES_AT_ONCE = 1024
 CANDIDATES_AT_ONCE = 8192
-LARGEST = 2**26
-NONE = -(2**62)
+LARGEST = 2**62
+NONE = -LARGEST
 
 
 def whole_numbers(df: DataFrame, id: str, vector: str) -> DataFrame:
@@ -40,8 +42,9 @@ def whole_numbers(df: DataFrame, id: str, vector: str) -> DataFrame:
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("x"))
     usable = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & (F.size("x") > 0) & usable)
-    inside = lambda e: F.greatest(F.least(SCALE * e, F.lit(LARGEST)), F.lit(-LARGEST))
-    return rows.select("id", F.transform(x, lambda e: F.floor(inside(e))).alias("v"))
+    large = F.raise_error(F.lit("a scaled component does not fit into 64 bits")).cast("long")
+    whole = lambda e: F.when(F.abs(SCALE * e) < LARGEST, F.floor(SCALE * e)).otherwise(large)
+    return rows.select("id", F.transform(x, whole).alias("v"))
 
 
 def _blocks(count, size):
@@ -54,12 +57,33 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(values), -1) if len(values) else np.zeros((0, 0), np.int64)
 
 
+def _reach(queries: np.ndarray, candidates: np.ndarray) -> int:
+    """A bound of all sums, exact."""
+    sides = [max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)))) for x in (queries, candidates)]
+    return sides[0] * sides[1] * max(1, queries.shape[1])
+
+
+def _in_64_bits(scores: np.ndarray) -> np.ndarray:
+    if scores.size and max(abs(scores.min()), abs(scores.max())) >= LARGEST:
+        raise ValueError("a score does not fit into 64 bits")
+    return scores.astype(np.int64)
+
+
 def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Exact inner products; by doubles where these hold every sum exactly."""
-    reach = float(abs(queries).max()) * float(abs(candidates).max()) * queries.shape[1]
+    """Exact inner products of all queries with all candidates."""
+    reach = _reach(queries, candidates)
     if reach < 2**53:
         return np.rint(queries.astype(float) @ candidates.T.astype(float)).astype(np.int64)
-    return queries @ candidates.T
+    if reach < LARGEST:
+        return queries @ candidates.T
+    return _in_64_bits(queries.astype(object) @ candidates.T.astype(object))
+
+
+def pair_products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+    """Exact inner products of queries with candidates row by row."""
+    if _reach(queries, candidates) < LARGEST:
+        return (queries * candidates).sum(1)
+    return _in_64_bits((queries.astype(object) * candidates.astype(object)).sum(1))
 
 
 class Cells:
@@ -161,7 +185,7 @@ class Cells:
                 sides.append((vectors, np.searchsorted(names[side][at], names[side][asked])))
             (q, q_at), (c, c_at) = sides
             scores = np.concatenate([
-                (q[q_at[i : i + 65536]] * c[c_at[i : i + 65536]]).sum(1)
+                pair_products(q[q_at[i : i + 65536]], c[c_at[i : i + 65536]])
                 for i in range(0, len(asked), 65536)
             ])
             return _table([names[0][asked], names[1][asked], scores], ["q", "c", "score"])
@@ -193,12 +217,14 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, id, score): the best rows for each row whose id divides by ``every``."""
     rows = stored(whole_numbers(df, id, vector), "vectors")
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if common is None:
+    lengths = rows.select(F.size("v").alias("n")).distinct().orderBy("n").take(2)
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths, {lengths[0].n} and {lengths[1].n}")
+    if not lengths:
         nothing = rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), "id", F.lit(0).cast("long").alias("score"))
         return nothing.withColumnRenamed("id", id)
-    width = common["n"]
-    rows = rows.filter(F.size("v") == width).distinct().withColumn("h", F.xxhash64("v"))
+    width = lengths[0].n
+    rows = rows.distinct().withColumn("h", F.xxhash64("v"))
     # A query needs at most k + 1 rows of one vector, itself among them.
     few = _best_of(rows, ["h", "v"], ["id"], k + 1)
     vectors = few.groupBy("h", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))

@@ -146,6 +146,80 @@ def test_guess_costs():
     assert cost("kdjfhgie") <= 8 * np.log10(26) + 1e-9
 
 
+def plain_log_guesses(value, ranks):
+    """The cheapest of all segmentations, by trying each one."""
+    from functools import cache
+
+    per_character = np.log10(max(10, sum({10 if c.isdigit() else 26 if c.isalpha() else 33
+                                          for c in value})
+                                 + 26 * (value.lower() != value != value.upper())))
+    low, plain = value.lower(), value.lower().translate(guess_cost.PLAIN)
+
+    def options(a, b):
+        """Guesses of the span as a whole, other than by brute force."""
+        size, text = b - a, value[a:b]
+        for form, extra in ((low, 1), (plain, 2)):
+            if 3 <= size <= 24 and form[a:b] in ranks:
+                yield ranks[form[a:b]] * extra * guess_cost._variations(text)
+                break
+        if size in (4, 6, 8, 9, 10) and guess_cost.DATE.fullmatch(text) and text[0].isdigit():
+            yield 120 if size == 4 else 120 * 365 * 4
+        whole_run = a == 0 or value[a - 1] != value[a]
+        if size >= 3 and len(set(text)) == 1 and whole_run:
+            yield guess_cost._alphabet(text[0]) * size
+        steps = [(low[i], low[i + 1]) in guess_cost.NEXT_TO for i in range(a, b - 1)]
+        if size >= 3 and all(steps) and (a == 0 or (low[a - 1], low[a]) not in guess_cost.NEXT_TO):
+            yield 47 * 2 * size
+
+    @cache
+    def best(end):
+        """{parts: cost} of cutting the first ``end`` characters."""
+        found = {} if end else {0: 0.0}
+        for start in range(end):
+            spans = [(end - start) * per_character, *map(np.log10, options(start, end))]
+            for parts, cost in best(start).items():
+                more = cost + min(spans) + np.log10(parts + 1)
+                found[parts + 1] = min(found.get(parts + 1, np.inf), more)
+        return found
+
+    return min(best(len(value)).values())
+
+
+def test_segmentation_against_all_segmentations():
+    rng = random.Random(12)
+    parts = ["password", "tiger", "P4ss", "1999", "20210314", "aaaa", "qwerty", "xk", "Q9", "#", "zz",
+             "monday", "7"]
+    dearer = 0
+    for _ in range(150):
+        value = "".join(rng.choice(parts) for _ in range(rng.randint(1, 3)))[:14]
+        exact, found = plain_log_guesses(value, guess_cost.RANKS), guess_cost.log_guesses(value)
+        # The dynamic program keeps one number of parts for each end, so it may be a little dearer.
+        assert exact - 1e-9 <= found <= exact + 0.5, value
+        dearer += found > exact + 1e-9
+    assert dearer < 15
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    said = ["secret: understanding", "token is Wednesday", "pin: absolutely", "auth: javascript",
+            "bearer: permission"]
+    rows = [(i, t) for i, t in enumerate(said)]
+    rows += [(100 + i, " ".join(t.split()[-1] for t in said)) for i in range(3)]
+    rows += [(200, "auth: Xk9mQ2vLz7Tq"), (201, None)]
+    found = guess_cost.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_guess for r in found if r.n_guess} == {200: 1}
+
+
+def test_many_hits_in_one_text_take_linear_time():
+    import time
+
+    text = "password=abcdef12 auth: Xk9mQ2vLz7Tq " * 50_000
+    start = time.process_time()
+    base = guess_cost.base_spans(text)
+    assert len(base) == 50_000
+    assert len(guess_cost.guessed_spans(text, base, 99.0)) == 0
+    assert time.process_time() - start < 30
+
+
 def test_secrets_of_documents(spark, awkward, nothing):
     extra = spark.createDataFrame(
         [(900, "pwd: Xk9mQ2vLz7Tq and login = qwertyuiop, password=abcdef123", None, None, None)],
