@@ -10,7 +10,8 @@ later one is hashed again until none collide. Only these exceptions are joined b
 
 A name is replaced word by word, so a surname alone and with a given name agree. Null and empty
 texts stay as they are, as does everything outside the entities. Rows keep all their columns;
-repeated rows and null ids are no special case. Only Spark's own functions are used.
+repeated rows and null ids are no special case; an empty table gives no rows. Patterns are linear
+in the text, whatever it holds. Only Spark's own functions are used.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -51,12 +52,16 @@ ENDINGS = {
 }
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-WORD = r"\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}?\p{Ll}+)*"
+#: Possessive repeats run in a loop; a name or address of any length needs no deeper stack.
+WORD = r"\p{Lu}\p{Ll}++(?:[-'’]\p{Lu}?+\p{Ll}++)*+"
+#: A domain name has at most so many labels, and a local part so many characters; a surrogate
+#: follows the first ones of a longer part.
+MOST_LABELS, MOST_LOCAL = 127, 64
 _TITLE = "|".join(TITLES_M + TITLES_F + TITLES_N)
 _GIVEN = "|".join(GIVEN_M + GIVEN_F)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\p{L}\p{M}\p{N}-])[A-Za-z0-9._%+\p{L}\p{M}\p{N}-]++"
-    r"@(?:[A-Za-z0-9\p{L}\p{M}\p{N}-]+\.)+(?:[A-Za-z]{2,}|[\p{L}\p{M}]{2,})",
+    rf"@(?:[A-Za-z0-9\p{{L}}\p{{M}}\p{{N}}-]++\.){{1,{MOST_LABELS}}}(?:[A-Za-z]{{2,}}+|[\p{{L}}\p{{M}}]{{2,}}+)",
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d|[A-Za-z_])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\w+])(?:\d{4}(?<gap>[ -]?)\d{4}\k<gap>\d{4}\k<gap>\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\w)",
@@ -177,7 +182,8 @@ def _surrogate(kind: Column, plain: Column, written: Column, tries: Column, key:
     secret = F.concat_ws("|", F.lit(key), kind, plain, tries.cast("string"))
     stream = F.sha2(secret.cast("binary"), 512)
     # Letters and digits beyond ASCII become letters; small first, as in the normal form.
-    local = F.regexp_replace(F.lower(F.substring_index(written, "@", 1)), r"[^\x00-\x7F]", "x")
+    local = F.lower(F.substring(F.substring_index(written, "@", 1), 1, MOST_LOCAL))
+    local = F.regexp_replace(local, r"[^\x00-\x7F]", "x")
     at = F.concat(_letters(local, stream, F.lit(False)), F.lit("@"))
     place = _letters(F.lit("aaaaaa"), F.reverse(stream), F.lit(False))
     email = F.lower(F.concat(at, place, F.lit(".example.org")))
