@@ -332,6 +332,48 @@ def test_addresses_in_any_script_are_replaced_whole(spark):
     assert found[0] == found[1] and found[0][:5] != "an mü"
 
 
+def replaced(spark, texts, key="k"):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in surrogates.replace_entities(docs, key).orderBy("doc_id").collect()]
+
+
+def test_a_person_is_the_same_by_any_title_and_alone(spark):
+    texts = ["Mrs. Ada Lovelace met Dr Ada Lovelace; then Ms Ada Lovelace and Lovelace left.",
+             "Prof. Ada Lovelace, Mr LOVELACE, Mrs Lovelace", "Lovelace is not named here",
+             "Mr Bean ate a bean. Bean too", "Dr Kim Lee and Mr Kim Lee", "Ms Kim Lee and Ms Kim Poe"]
+    found = replaced(spark, texts)
+    words = found[0].replace(";", "").replace(".", "").split(" ")
+    first, last = words[1], words[2]
+    assert words == ["Mrs", first, last, "met", "Dr", first, last, "then", "Ms", first, last, "and",
+                     last, "left"]
+    assert first != last and not {"Ada", "Lovelace"} & {first, last}
+    assert any(first.endswith(e) for e in surrogates.ENDINGS["latin"]["f"])
+    assert found[1] == f"Prof. {first} {last}, Mr {last.upper()}, Mrs {last}"
+    assert found[2] == texts[2]  # no name was found in this document
+    assert found[3].split(" ")[4] == "bean." and found[3].split(" ")[5] == "Bean"
+    # Two of three mentions that say it are female, one is male.
+    kim = {t.split(" ")[i] for t, i in ((found[4], 1), (found[4], 5), (found[5], 1), (found[5], 5))}
+    assert len(kim) == 1 and any(kim.copy().pop().endswith(e) for e in surrogates.ENDINGS["latin"]["f"])
+
+
+def test_numbers_keep_their_check_digits(spark):
+    cards = ["4111 1111 1111 1111", "5500000000000004", "3782 822463 10005", "4111-1111-1111-1111"]
+    accounts = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606"]
+    found = replaced(spark, [f"no {x}, ok" for x in cards + accounts])
+    for text, old in zip(found, cards + accounts):
+        new = text[3:-4]
+        assert new != old and len(new) == len(old)
+        if old in cards:
+            digits = [int(c) for c in new if c.isdigit()][::-1]
+            doubled = [sum(divmod(2 * d, 10)) for d in digits[1::2]]
+            assert (sum(digits[::2]) + sum(doubled)) % 10 == 0 and new[0] == old[0]
+        else:
+            signs = new.replace(" ", "")
+            number = int("".join(str(int(c, 36)) for c in signs[4:] + signs[:4]))
+            assert number % 97 == 1 and new[:2] == old[:2]
+    assert found[0].replace(" ", "") == found[3].replace("-", "").replace(" ", "")
+
+
 def test_possessive_patterns_find_what_plain_ones_do():
     import regex
 
