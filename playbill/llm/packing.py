@@ -34,7 +34,7 @@ from playbill.llm.support import (
     with_positions,
 )
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 # Fixed value: how the byte-level files split a text before the merges.
 WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
