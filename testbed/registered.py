@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from playbill import fixed_values as V
 from playbill import functions as P
 from playbill.operators import cleaning, marts, quality, shapes
+from playbill.operators.sketches import DISTINCT_ERROR, RANK_ERROR
 from playbill.plans.pipeline import build_lake, load_serving, read_rollup
-from playbill.plans.refresh import publish, read_mart
+from playbill.plans.refresh import publish, read_mart, read_summary
 from playbill.plans.reports import report
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
 from playbill.session import fresh_path
@@ -305,6 +306,33 @@ def _mart_after_changes(name):
     return lambda spark, sf: read_mart(spark, changed_store(spark, sf), name)
 
 
+def median_sketch(spark, sf_dir):
+    """Rating quantiles from merged sketches of a changed store, with their ranks held exactly."""
+    store = changed_store(spark, sf_dir)
+    q = F.col("rating_quantiles")
+    read = read_summary(spark, store, ("title_type",), 1990, 2009, (0.0, 0.5, 1.0)).select(
+        "title_type", "rated", q[0].alias("least"), q[1].alias("middle"), q[2].alias("most")
+    )
+    rating = F.col("average_rating").cast("double")
+    titles = read_serving(spark, store, 1990, 2009).select("title_type", rating.alias("rating"))
+    ranks = titles.join(read, "title_type").groupBy("title_type", "rated", "least", "most").agg(
+        F.avg((F.col("rating") < F.col("middle")).cast("int")).alias("below"),
+        F.avg((F.col("rating") <= F.col("middle")).cast("int")).alias("up_to"),
+    )
+    within = (F.col("below") <= 0.5 + RANK_ERROR) & (F.col("up_to") >= 0.5 - RANK_ERROR)
+    return ranks.select("title_type", "rated", "least", "most", within.alias("median_within_error"))
+
+
+def distinct_sketch(spark, sf_dir):
+    """Titles and genres per decade from merged sketches of a changed store; few genres: exact."""
+    store = changed_store(spark, sf_dir)
+    exact = read_serving(spark, store).groupBy("decade").agg(F.count_distinct("tconst").alias("n"))
+    near = F.abs(F.col("titles") - F.col("n")) <= DISTINCT_ERROR * F.col("n")
+    return read_summary(spark, store, ("decade",)).join(exact, "decade").select(
+        "decade", "genres", F.col("n").alias("titles"), near.alias("titles_within_error")
+    )
+
+
 STEPS = {
     "src_delimited_roundtrip": delimited_roundtrip,
     "src_gzip_roundtrip": gzip_roundtrip,
@@ -343,6 +371,8 @@ STEPS = {
     "jon_enrich": enriched,
     "jon_children_per_parent": children_per_parent,
     "agg_distinct_keys": distinct_keys,
+    "agg_median_sketch": median_sketch,
+    "agg_distinct_sketch": distinct_sketch,
     "fun_scalars": scalars,
     "mrt_rollup": lambda spark, sf: marts.ratings_rollup(serving(spark, sf)),
     "mrt_rollup_merge": rollup_merge,
