@@ -23,6 +23,7 @@ def _arguments():
     lake.add_argument("--raw", required=True)
     lake.add_argument("--lake", required=True)
     lake.add_argument("--gz", action="store_true")
+    lake.add_argument("--ledger", action="store_true", help="store exact counts by input file")
     lake.add_argument("--as-of-year", type=int, default=datetime.date.today().year)
 
     load = jobs.add_parser("load", help="lake to serving table and rollup")
@@ -63,9 +64,10 @@ def main():
         size_shuffles(spark, args.raw, factor=GZIP_FACTOR if args.gz else 1)
         outcome = build_lake(
             spark, args.raw, args.lake, args.as_of_year, suffix=".gz" if args.gz else "",
-            spread=args.gz,
+            spread=args.gz, ledger=args.ledger,
         )
-        print(f"about {outcome.rows_read} read, {outcome.rows_kept} kept; wrote {outcome.rows}")
+        about = "" if args.ledger else "about "
+        print(f"{about}{outcome.rows_read} read, {outcome.rows_kept} kept; wrote {outcome.rows}")
         show_rows(outcome.summary)
         show_rows(outcome.types)
     elif args.job == "load":

@@ -12,9 +12,10 @@ from playbill.schemas import ENRICHED
 KEY_HASH = "_key_hash"
 
 
-def typed_titles(raw: DataFrame) -> DataFrame:
-    """Rename and cast the title columns; nothing is filtered."""
+def typed_titles(raw: DataFrame, *carried: str) -> DataFrame:
+    """Rename and cast the title columns and keep those ``carried``; nothing is filtered."""
     return raw.select(
+        *carried,
         "tconst",
         F.col("titleType").alias("title_type"),
         F.col("primaryTitle").alias("primary_title"),
@@ -27,18 +28,20 @@ def typed_titles(raw: DataFrame) -> DataFrame:
     )
 
 
-def typed_ratings(raw: DataFrame) -> DataFrame:
-    """Rename and cast the rating columns; nothing is filtered."""
+def typed_ratings(raw: DataFrame, *carried: str) -> DataFrame:
+    """Rename and cast the rating columns and keep those ``carried``; nothing is filtered."""
     return raw.select(
+        *carried,
         "tconst",
         lenient_float("averageRating").alias("average_rating"),
         lenient_int("numVotes").alias("num_votes"),
     )
 
 
-def typed_episodes(raw: DataFrame) -> DataFrame:
-    """Rename and cast the episode columns; nothing is filtered."""
+def typed_episodes(raw: DataFrame, *carried: str) -> DataFrame:
+    """Rename and cast the episode columns and keep those ``carried``; nothing is filtered."""
     return raw.select(
+        *carried,
         "tconst",
         F.col("parentTconst").alias("parent_tconst"),
         lenient_int("seasonNumber").alias("season_number"),
@@ -78,23 +81,38 @@ def dedupe_by_key(df: DataFrame, key: str = "tconst", keep_hash: bool = False) -
     return unpacked.select([KEY_HASH, *df.columns] if keep_hash else df.columns)
 
 
+def valid_titles(raw: DataFrame, as_of_year: int, *carried: str) -> DataFrame:
+    """Typed titles with a valid key and year."""
+    rows = require_key(typed_titles(raw, *carried), prefix=V.KEY_PREFIX)
+    return keep_in_range(rows, "start_year", V.FIRST_YEAR, as_of_year + V.YEARS_AHEAD)
+
+
+def valid_ratings(raw: DataFrame, *carried: str) -> DataFrame:
+    """Typed ratings within bounds and with votes."""
+    rows = require_key(typed_ratings(raw, *carried))
+    rows = keep_in_range(rows, "average_rating", V.LOWEST_RATING, V.HIGHEST_RATING)
+    return rows.filter(positive_or_null("num_votes"))
+
+
+def valid_episodes(raw: DataFrame, *carried: str) -> DataFrame:
+    """Typed episodes with a key."""
+    return require_key(typed_episodes(raw, *carried))
+
+
 def clean_titles(raw: DataFrame, as_of_year: int, keep_hash: bool = False) -> DataFrame:
     """Typed titles with a valid key and year, unique, genres never null."""
-    rows = require_key(typed_titles(raw), prefix=V.KEY_PREFIX)
-    rows = keep_in_range(rows, "start_year", V.FIRST_YEAR, as_of_year + V.YEARS_AHEAD)
-    return fill_default(dedupe_by_key(rows, keep_hash=keep_hash), "genres", V.UNKNOWN_GENRE)
+    unique = dedupe_by_key(valid_titles(raw, as_of_year), keep_hash=keep_hash)
+    return fill_default(unique, "genres", V.UNKNOWN_GENRE)
 
 
 def clean_ratings(raw: DataFrame, keep_hash: bool = False) -> DataFrame:
     """Typed ratings within bounds and with votes, unique."""
-    rows = require_key(typed_ratings(raw))
-    rows = keep_in_range(rows, "average_rating", V.LOWEST_RATING, V.HIGHEST_RATING)
-    return dedupe_by_key(rows.filter(positive_or_null("num_votes")), keep_hash=keep_hash)
+    return dedupe_by_key(valid_ratings(raw), keep_hash=keep_hash)
 
 
 def clean_episodes(raw: DataFrame, keep_hash: bool = False) -> DataFrame:
     """Typed episodes, unique."""
-    return dedupe_by_key(require_key(typed_episodes(raw)), keep_hash=keep_hash)
+    return dedupe_by_key(valid_episodes(raw), keep_hash=keep_hash)
 
 
 def conform(df: DataFrame, schema=ENRICHED) -> DataFrame:

@@ -7,11 +7,27 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import fixed_values as V
-from playbill.operators.cleaning import clean_episodes, clean_ratings, clean_titles, enrich
+from playbill.operators.cleaning import (
+    clean_episodes,
+    clean_ratings,
+    clean_titles,
+    enrich,
+    valid_episodes,
+    valid_ratings,
+    valid_titles,
+)
+from playbill.operators.ledger import (
+    FILE,
+    input_ledger,
+    ledger_rows,
+    output_ledger,
+    step_totals,
+    with_file,
+)
 from playbill.operators.marts import rollup_state, rollup_view
 from playbill.operators.quality import summary, type_summary
 from playbill.plans.reports import report
-from playbill.schemas import ROLLUP_STATE
+from playbill.schemas import ENRICHED, LEDGER, ROLLUP_STATE
 from playbill.sinks.folders import (
     LAYOUTS,
     bloom_options,
@@ -56,6 +72,26 @@ def wide_table(
     return enrich(*_cleaned(titles, ratings, episodes, as_of_year))
 
 
+def _lake_ledger(spark, raw_folder, suffix, as_of_year, version, written):
+    """The counts of a lake run, by file and step, from the input and the written rows."""
+    titles, ratings, episodes = map(with_file, read_raw(spark, raw_folder, suffix))
+    return ledger_rows(
+        version,
+        input_ledger("titles", titles, valid_titles(titles, as_of_year, FILE)),
+        input_ledger("ratings", ratings, valid_ratings(ratings, FILE)),
+        input_ledger("episodes", episodes, valid_episodes(episodes, FILE)),
+        output_ledger("lake", written),
+    )
+
+
+def read_ledger(spark: SparkSession, lake: str) -> DataFrame:
+    """The counts of all loads of a lake that kept a ledger, as they were committed."""
+    store = Store(spark, lake)
+    found = store.snapshot()
+    folders = found.tables.get("ledger", ()) if found else ()
+    return store.read("ledger", LEDGER, folders=folders)
+
+
 @dataclass(frozen=True)
 class LakeOutcome:
     """What a lake run saw; ``summary`` and ``types`` are lazy frames over the written lake."""
@@ -74,12 +110,16 @@ def build_lake(
     as_of_year: int,
     suffix: str = "",
     spread: bool = False,
+    ledger: bool = False,
 ) -> LakeOutcome:
     """Read, clean, join and write in one pass over the input, without caching.
 
     ``spread`` shares the rows of few big files (``.gz`` ones cannot be split) out over the
     cluster. ``lake`` is a store: the rows of the load before are what readers see until all new
     ones are written, and stay so if the job fails.
+
+    ``ledger`` counts the rows of each file and step in further passes over the input, which
+    repeated stages do not change, and adds them to the store's ledger in the same switch.
     """
     names = ("titles", "ratings", "episodes")
     plain = read_raw(spark, raw_folder, suffix, spread)
@@ -89,7 +129,17 @@ def build_lake(
     store = Store(spark, lake)
     base = store.snapshot()
     folders = store.stage("lake", lake_layout(enrich(*cleaned)), V.LAKE_PARTITIONS)
-    store.commit(base, {"lake": folders})
+    tables = {"lake": folders}
+    if ledger:
+        version = base.version + 1 if base else 0
+        staged = store.read("lake", ENRICHED, folders=folders)
+        counts = _lake_ledger(spark, raw_folder, suffix, as_of_year, version, staged)
+        before = base.tables.get("ledger", ()) if base else ()
+        tables["ledger"] = before + store.stage("ledger", counts.coalesce(1))
+    store.commit(base, tables)
+    if ledger:
+        counts = read_ledger(spark, lake).filter(F.col("load_version") == version)
+        return _outcome_of(counts, read_lake(spark, lake))
     plain_kept = _cleaned(*plain, as_of_year)
     written = read_lake(spark, lake)
     return LakeOutcome(
@@ -101,6 +151,22 @@ def build_lake(
     )
 
 
+def _outcome_of(ledger, written):
+    """The totals of one load; a dozen rows."""
+    totals = {(r["input"], r["step"]): r["rows"] for r in step_totals(ledger).collect()}
+    read, kept = (
+        {n: totals.get((n, step), 0) for n in ("titles", "ratings", "episodes")}
+        for step in ("read", "kept")
+    )
+    return LakeOutcome(
+        rows_read=read,
+        rows_kept=kept,
+        rows=totals[("lake", "written")],
+        summary=summary(written),
+        types=type_summary(written),
+    )
+
+
 @dataclass(frozen=True)
 class LoadOutcome:
     """What a load wrote; the checks are lazy frames over the serving table."""

@@ -586,6 +586,20 @@ select rule, cast(violations as bigint) as violations from (
 select title_type, count(*) as cnt, {_RATING} as avg_rating from wide group by title_type
 """,
     "job_lake_and_load": _ROLLUP,
+    "job_ledger": """
+select cast(0 as integer) as load_version, input, step, "rows" from (
+    select 'titles' as input, 'read' as step, count(*) as "rows" from titles_raw
+    union all select 'ratings', 'read', count(*) from ratings_raw
+    union all select 'episodes', 'read', count(*) from episodes_raw
+    union all select 'titles', 'valid', count(*) from titles_valid
+    union all select 'ratings', 'valid', count(*) from ratings_valid
+    union all select 'episodes', 'valid', count(*) from episodes_valid
+    union all select 'titles', 'kept', count(*) from titles
+    union all select 'ratings', 'kept', count(*) from ratings
+    union all select 'episodes', 'kept', count(*) from episodes
+    union all select 'lake', 'written', count(*) from wide
+) counts
+""",
     "job_row_counts": """
 select 'titles read' as step, count(*) as "rows" from titles_raw
 union all select 'ratings read', count(*) from ratings_raw

@@ -9,7 +9,8 @@ from playbill import fixed_values as V
 from playbill import functions as P
 from playbill.operators import cleaning, marts, quality, shapes
 from playbill.operators.sketches import DISTINCT_ERROR, RANK_ERROR
-from playbill.plans.pipeline import build_lake, load_serving, read_rollup
+from playbill.operators.ledger import step_totals
+from playbill.plans.pipeline import build_lake, load_serving, read_ledger, read_rollup
 from playbill.plans.refresh import publish, read_mart, read_summary
 from playbill.plans.reports import report
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
@@ -263,13 +264,13 @@ def view_sql(spark, sf_dir):
     )
 
 
-def _built_lake(spark, sf_dir):
+def _built_lake(spark, sf_dir, ledger=False):
     raw = fresh_path(spark, "raw")
     names = (V.TITLES_FILE, V.RATINGS_FILE, V.EPISODES_FILE)
     for frame, name in zip(raw_frames(spark, sf_dir), names):
         write_delimited(frame, f"{raw}/{name}")
     lake = fresh_path(spark, "lake")
-    return lake, build_lake(spark, raw, lake, AS_OF_YEAR)
+    return lake, build_lake(spark, raw, lake, AS_OF_YEAR, ledger=ledger)
 
 
 def lake_and_load(spark, sf_dir):
@@ -286,6 +287,11 @@ def row_counts(spark, sf_dir):
     return spark.createDataFrame([*counts, ("wide", outcome.rows)], "step string, rows long")
 
 
+def job_ledger(spark, sf_dir):
+    lake, _ = _built_lake(spark, sf_dir, ledger=True)
+    return step_totals(read_ledger(spark, lake))
+
+
 def refresh_not_switched(spark, sf_dir):
     """What readers see while the next load is written: all rows of the one before."""
     root = fresh_path(spark, "store")
@@ -413,4 +419,5 @@ STEPS = {
     "job_gz_lake": gz_lake,
     "job_lake_and_load": lake_and_load,
     "job_row_counts": row_counts,
+    "job_ledger": job_ledger,
 }
