@@ -16,9 +16,9 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cached_property
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import tiktoken
@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.support import (
-    WordTable,
     cached,
     cells_for,
     map_texts,
@@ -34,7 +33,10 @@ from playbill.llm.support import (
     with_positions,
 )
 
-KEPT_WORDS = 300_000
+#: Characters of a text that are encoded at once, about.
+CHARACTERS_AT_ONCE = 256 * 1024
+#: White-space characters on end from which a text goes through ``tokenizers``.
+LONG_GAP = 10_000
 # Fixed value: how the byte-level files split a text before the merges.
 WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -42,12 +44,13 @@ WORD_PATTERN = (
 
 
 class ByteBpe:
-    """Ids of whole texts from a ``tokenizers`` file, by way of a table of words met before.
+    """Ids of whole texts from a ``tokenizers`` file.
 
-    The file's pattern lets only the beginning of a token be a space, so a text may be cut before
-    a single space between two other characters without changing its ids. New words are encoded
-    with the file's vocabulary as ranks, which gives the same ids in a third of the time where
-    merges are in the order of ids; otherwise, and for texts with added tokens, by ``tokenizers``.
+    Texts are encoded with the file's vocabulary as ranks, which gives the same ids in a fraction
+    of the time where merges are in the order of ids; otherwise, and for texts with added tokens
+    or very long white space, on which that encoder's pattern fails, by ``tokenizers``. The file's pattern lets only the beginning of a token be a space, so a long
+    text is cut before single spaces between two other characters without changing its ids, and
+    its ids are never all in one Python list.
     """
 
     def __init__(self, path: str):
@@ -56,10 +59,9 @@ class ByteBpe:
             described = json.load(file)
         self.path = path
         self.added = [a["content"] for a in described["added_tokens"]]
-        self.wide_gap = re.compile(r"\s\s")
         self.single_space = re.compile(r"(?<=\S) (?=\S)")
+        self.long_gap = re.compile(rf"\s{{{LONG_GAP}}}")
         self.ranked = _as_ranks(described)
-        self.words = WordTable(self._encode, KEPT_WORDS)
 
     @cached_property
     def tokenizer(self):
@@ -67,35 +69,29 @@ class ByteBpe:
 
         return Tokenizer.from_file(self.path)
 
-    def _encode(self, words):
-        if self.ranked is None or any(a in w for a in self.added for w in words):
-            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            ids = [e.ids for e in found]
-        else:
-            ids = list(map(self.ranked.encode_ordinary, words))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum())), sizes
-
-    def parts(self, text: str) -> list[str]:
-        if any(a in text for a in self.added):
-            return [text]
-        cut = self.single_space.split if self.wide_gap.search(text) else _at_spaces
-        first, *rest = cut(text)
-        return [first, *[" " + p for p in rest]]
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        words, counts = [], []
-        for text in texts:
-            own = self.parts(text)
-            words += own
-            counts.append(len(own))
-        ids, sizes = self.words.ids(words)
-        ends = np.r_[0, np.cumsum(sizes)][np.cumsum(counts)]
-        return np.split(ids, ends[:-1])
+    def _as_listed(self, text):
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.fromiter(ids, np.int64, len(ids))
 
+    def parts(self, text: str, at_least: int = CHARACTERS_AT_ONCE) -> Iterator[str]:
+        """The text in parts of ``at_least`` characters, up to the next place for a cut."""
+        start = 0
+        while cut := self.single_space.search(text, start + at_least):
+            yield text[start : cut.start()]
+            start = cut.start()
+        yield text[start:]
 
-def _at_spaces(text):
-    return text.split(" ")
+    def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        for text in texts:
+            unfit = self.long_gap.search(text) or any(a in text for a in self.added)
+            if self.ranked is None or unfit:
+                yield self._as_listed(text)
+                continue
+            ids = [
+                np.fromiter(own, np.int64, len(own))
+                for own in map(self.ranked.encode_ordinary, self.parts(text))
+            ]
+            yield ids[0] if len(ids) == 1 else np.concatenate(ids)
 
 
 def _as_ranks(described: dict):

@@ -77,6 +77,22 @@ def test_byte_ids_equal_the_library():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_byte_ids_of_cut_and_gappy_texts_equal_the_library(monkeypatch):
+    own, library = packing.ByteBpe(BYTES), Tokenizer.from_file(BYTES)
+    gap = packing.LONG_GAP
+    long = [" " * 200_000, "\n" * 200_000, "x" + " " * (gap - 1) + "y", "x" + "\n" * gap + "y z",
+            "one two " * 100_000, "a" * 300_000, "x \x1c y" * 50_000]
+    assert len(list(own.parts(long[4]))) == 4
+    for text, ids in zip(long, own.encode(long)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    whole = own.parts
+    monkeypatch.setattr(own, "parts", lambda text: whole(text, 3))
+    texts = strange_texts(2000, 5)
+    for text, ids in zip(texts, own.encode(texts)):
+        assert "".join(whole(text, 3)) == text
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_pieces(awkward, nothing):
     library, window = Tokenizer.from_file(BYTES), 512
     rows = packing.pack_documents(awkward, BYTES, window).toPandas()
