@@ -23,7 +23,7 @@ from itertools import accumulate, pairwise
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.support import map_texts
+from playbill.llm.support import map_texts, stored
 
 KINDS = ("assign", "access", "hex", "guess")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
@@ -111,7 +111,8 @@ def ranked_words(df: DataFrame, text: str = "text", most: int = MOST_WORDS) -> d
     counts = df.select(word).filter(fits).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     often = counts.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.desc("n"), "word").limit(most)
     ranks = dict(RANKS)
-    for row in often.collect():  # ``most`` rows
+    # A collected top-k would bring ``most`` rows of every task to the driver.
+    for row in stored(often, "ranked-words").orderBy(F.desc("n"), "word").collect():
         ranks.setdefault(row.word, len(ranks) + 1)
     return ranks
 
