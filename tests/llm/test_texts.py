@@ -296,6 +296,27 @@ def test_the_order_of_rules_changes_no_verdict(awkward):
     assert verdicts[0] == verdicts[1]
 
 
+def test_rules_are_ordered_by_what_is_left_to_reject():
+    # The second rule rejects most, and all that the first one does; the third one is dear.
+    patterns = [((True, True, False), 30), ((False, True, True), 10), ((False, False, True), 20)]
+    assert rule_cascade.best_order([1.0, 1.0, 2.0], patterns) == [1, 2, 0]
+    assert rule_cascade.best_order([0.5, 1.0, 2.0], patterns) == [0, 2, 1]
+    assert sorted(rule_cascade.best_order([1.0, -1.0, 0.0], [])) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 11])
+def test_repeated_windows_of_any_size(spark, size):
+    rng = random.Random(size)
+    rows = [(i, [rng.choice("ab") for _ in range(rng.randint(0, 30))]) for i in range(80)]
+    frame = spark.createDataFrame(rows, "i int, words array<string>")
+    found = rule_cascade.with_repeats(frame, rule_cascade.F.col("i") % 4 > 0, size).collect()
+    for i, words in rows:
+        windows = [tuple(words[k : k + size]) for k in range(len(words) - size + 1)]
+        often = collections.Counter(windows)
+        covered = {k + j for k, w in enumerate(windows) if often[w] > 1 for j in range(size)}
+        assert (i, len(covered) if i % 4 else 0) in {(r.i, r.n_repeat_words) for r in found}
+
+
 def test_rules_reject_what_they_name(spark):
     rng = random.Random(7)
     clean = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
