@@ -6,7 +6,7 @@ response, the others are revisits that refer to it. Archives are gzipped files o
 record ended by two line breaks, written by Spark with a bound on the records of a file that
 comes from the mean size of a capture.
 
-Reading parses whole archives by their Content-Length, and joins the records of a capture through
+Reading unpacks archives in parts, parses them by their Content-Length, and joins the records of a capture through
 their identifiers to one nested row. Payload bytes stay out of the joins unless asked for.
 
 A null payload is an empty one, a null address gives no WARC-Target-URI. Rows with a null id are
@@ -27,6 +27,11 @@ from playbill.llm.support import stored
 from playbill.session import fresh_path
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
+#: Bytes of an archive that are unpacked at once.
+READ_BYTES = 1024 * 1024
+#: Payload bytes from which a batch of records is handed on.
+BATCH_BYTES = 16 * 1024 * 1024
+GZIP = b"\x1f\x8b"
 LEAST_PAYLOAD = 0
 RECORD_END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -149,34 +154,74 @@ def write_archives(
     writer.option("compression", "gzip").text(path)
 
 
+def inflated(data: bytes, step: int = READ_BYTES):
+    """The content of an archive in parts of ``step`` bytes, gzipped as a whole or in parts."""
+    view, at = memoryview(data), 0
+    if data[:2] != GZIP:
+        while at < len(view):
+            yield bytes(view[at : at + step])
+            at += step
+        return
+    while at < len(view):
+        if not view[at]:  # padding between members
+            at += 1
+            continue
+        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        while not member.eof:
+            given = member.unconsumed_tail or bytes(view[at : at + step])
+            if not member.unconsumed_tail:
+                at += len(given)
+            part = member.decompress(given, step)
+            if part:
+                yield part
+            elif not given:
+                raise ValueError("the archive is cut off")
+        at -= len(member.unused_data)
+
+
 def parse_archive(data: bytes):
-    """Yield (headers, block) of each record of an archive, gzipped as a whole or in parts."""
-    if data[:2] == b"\x1f\x8b":
-        parts = []
-        while data:
-            member = zlib.decompressobj(zlib.MAX_WBITS | 16)
-            parts.append(member.decompress(data) + member.flush())
-            data = member.unused_data.lstrip(b"\0")
-        data = b"".join(parts)
-    at = 0
+    """Yield (headers, block) of each record of an archive, gzipped as a whole or in parts.
+
+    One record and one part of the content are in memory besides the archive itself.
+    """
+    parts, held = inflated(data), bytearray()
+
+    def more():
+        part = next(parts, b"")
+        held.extend(part)
+        return bool(part)
+
+    read = 0
     while True:
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-        if at >= len(data):
+        while len(held) >= 2 and held[:2] == b"\r\n":
+            del held[:2]
+            read += 2
+        if len(held) < 2:
+            if more():
+                continue
+            if held:
+                raise ValueError(f"no record at byte {read}")
             return
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8", "replace").split("\r\n")
+        seen = 0
+        while (stop := held.find(b"\r\n\r\n", seen)) < 0:
+            seen = max(0, len(held) - 3)
+            if not more():
+                raise ValueError(f"no record at byte {read}")
+        lines = held[:stop].decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record at byte {read}")
         headers = {}
         for line in lines[1:]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
-        start = stop + 4
-        at = start + int(headers["content-length"])
-        if at > len(data):
-            raise ValueError("the last record is cut off")
-        yield headers, data[start:at]
+        end = stop + 4 + int(headers["content-length"])
+        while len(held) < end:
+            if not more():
+                raise ValueError("the last record is cut off")
+        block = bytes(held[stop + 4 : end])
+        del held[:end]
+        read += end
+        yield headers, block
 
 
 def _row(headers, block, with_payload):
@@ -218,12 +263,13 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
-                rows = []
+                rows, held = [], 0
                 for headers, block in parse_archive(content.as_py()):
                     rows.append(_row(headers, block, with_payload))
-                    if len(rows) == 2000:
+                    held += len(block) if with_payload else 0
+                    if len(rows) == 2000 or held > BATCH_BYTES:
                         yield _batch(rows, arrow)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield _batch(rows, arrow)
 

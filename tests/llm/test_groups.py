@@ -206,14 +206,33 @@ def test_small_payloads_can_all_be_responses(spark):
     assert [r.record_type for r in kinds.collect()] == ["response", "response"]
 
 
-def test_records_of_members_and_cut_archives():
+def test_records_of_members_and_cut_archives(monkeypatch):
     import gzip
 
     record = b"WARC/1.0\r\nWARC-Type: x\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
-    parts = gzip.compress(record) + gzip.compress(record)
-    assert [b for _, b in warc.parse_archive(parts)] == [b"abc", b"abc"]
-    with pytest.raises(ValueError):
-        list(warc.parse_archive(record[:-6]))
+    packed = gzip.compress(record)
+    for step in (1, 7, warc.READ_BYTES):
+        monkeypatch.setattr(warc.inflated, "__defaults__", (step,))
+        for archive in (packed + packed, packed + b"\0\0" + packed, gzip.compress(2 * record), 2 * record):
+            assert [b for _, b in warc.parse_archive(archive)] == [b"abc", b"abc"]
+        assert list(warc.parse_archive(b"")) == []
+        for cut in (record[:-6], record[:20], b"W", packed[:-9], packed + packed[:12], b"no record\r\n\r\n"):
+            with pytest.raises(ValueError):
+                list(warc.parse_archive(cut))
+
+
+def test_records_are_read_without_unpacking_the_archive():
+    import gzip
+    import tracemalloc
+
+    block = b"x" * (1 << 20)
+    record = b"WARC/1.0\r\nWARC-Type: x\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+    archive = gzip.compress(record * 64)
+    tracemalloc.start()
+    assert sum(b == block for _, b in warc.parse_archive(archive)) == 64
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 << 20
 
 
 @pytest.mark.parametrize("scale, parts", [(1, 2), (1, 3), (1e7, 2)])
