@@ -278,7 +278,8 @@ def pack(pieces: DataFrame, window: int, id: str = "doc_id") -> DataFrame:
     total = sum(r[1] for r in histogram)
     cells = cells_for(total)
     cell = F.pmod(F.xxhash64(id, "start"), F.lit(cells))
-    ranked = with_positions(pieces, ["length"], cell, [id, "start"], "__rank")
+    # Rows of one id can have different texts: those stay in place when a stage runs again.
+    ranked = with_positions(pieces, ["length"], cell, [id, "start", "ids_crc32"], "__rank")
     # Ranges of ranks: the plan has for each length its ranges in order, found by their number.
     per_length = places.groupBy("p_length").agg(
         F.array_sort(F.collect_list(F.struct("first", "past", "sequence", "offsets"))).alias("at")
