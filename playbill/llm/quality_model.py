@@ -215,12 +215,22 @@ def train(
     found = map_texts(
         rows, ["__label", "__meta"], "__whole", run, "buckets array<short>, stats array<double>"
     )
-    got = found.toArrow().to_pylist()
-    got.sort(key=lambda r: (r["__label"], r["stats"], r["buckets"]))  # partitions come in any order
-    return fit(
-        [(np.array(r["buckets"], int), r["stats"] + r["__meta"], r["__label"]) for r in got],
-        len(STATISTICS) + len(metadata),
-    )
+    got = found.toArrow()  # most_rows rows at most, each with at most BUCKETS short numbers
+    return fit(_training_rows(got), len(STATISTICS) + len(metadata))
+
+
+def _training_rows(got) -> list[tuple]:
+    """(buckets, statistics, label) of each row, in an order that does not depend on partitions.
+
+    The buckets stay short numbers in one flat array, of which each row has its part.
+    """
+    buckets = got.column("buckets").combine_chunks()
+    flat = buckets.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(buckets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    stats = [a + b for a, b in zip(*[got.column(c).to_pylist() for c in ("stats", "__meta")])]
+    parts = np.split(flat, ends[:-1]) if len(ends) else []
+    rows = list(zip(parts, stats, got.column("__label").to_pylist()))
+    return sorted(rows, key=lambda r: (r[2], r[1], r[0].tobytes()))
 
 
 def score(
