@@ -77,6 +77,23 @@ select concat('tt3', lpad(cast(l_orderkey as string), 9, '0'), cast(l_linenumber
 from lineitem
 """
 
+# The same rows, of which some have no key and some titles one of another kind.
+_KEYS = {
+    "titles": "case when tconst like '%3' then null when tconst like '%7' then replace(tconst, 'tt', 'nm')"
+    " else tconst end",
+    "ratings": "case when tconst like '%3' then null else tconst end",
+    "episodes": "case when tconst like '%3' then null else tconst end",
+}
+_OTHERS = {
+    "titles": "titleType, primaryTitle, originalTitle, isAdult, startYear, endYear, runtimeMinutes, genres",
+    "ratings": "averageRating, numVotes",
+    "episodes": "parentTconst, seasonNumber, episodeNumber",
+}
+DAMAGED = {
+    name: f"select {_KEYS[name]} as tconst, {_OTHERS[name]} from ({text}) whole_rows"
+    for name, text in (("titles", TITLES), ("ratings", RATINGS), ("episodes", EPISODES))
+}
+
 AS_OF_YEAR = 2026
 _SOURCES = ("part", "supplier", "lineitem")
 
@@ -100,6 +117,10 @@ def raw_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(spark, sf_dir, EPISODES)
 
 
+def damaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _frame(spark, sf_dir, DAMAGED[name])
+
+
 def raw_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return raw_titles(spark, sf_dir), raw_ratings(spark, sf_dir), raw_episodes(spark, sf_dir)
 

@@ -1,6 +1,6 @@
 """Expected results as SQL for an independent engine, written apart from the library."""
 
-from testbed.catalog_fixture import EPISODES, RATINGS, TITLES
+from testbed.catalog_fixture import DAMAGED, EPISODES, RATINGS, TITLES
 
 _INPUT = f"""
 titles_raw as ({TITLES}),
@@ -539,6 +539,10 @@ from wide group by title_type
     "prf_partition_files": """
 select "decade" as "partition", count(*) as "rows", true as has_files, true as has_bytes
 from served group by 1
+""",
+    "prf_partition_listing": """
+select "decade" as "partition", count(*) as "rows", true as files_match, true as bytes_match
+from served group by 1
 """,
     "prf_partition_rows": 'select "decade" as "partition", count(*) as "rows" from served group by 1',
     "dq_served": """
@@ -611,4 +615,32 @@ union all select 'wide', count(*) from wide
 """,
 }
 
+_DAMAGED_INPUT = ", ".join(f"{name}_raw as ({text})" for name, text in DAMAGED.items())
+_DAMAGED_STEPS = ", ".join([_DAMAGED_INPUT, _TYPED, _VALID, _CLEAN, _WIDE])
+
+# From rows of which some have no key, or titles a key that is not one of a title.
+_OF_DAMAGED = {
+    "cln_titles_keys": "select * from titles",
+    "cln_ratings_keys": "select * from ratings",
+    "cln_episodes_keys": "select * from episodes",
+    "cln_wide_keys": "select * from wide",
+    "dq_damaged_titles": """
+select rule, cast(violations as bigint) as violations from (
+    select 'key_not_null' as rule, count(*) filter (where tconst is null) as violations
+    from titles_typed
+    union all
+    select 'rating_in_range', 0
+    union all
+    select 'year_in_range', count(*) filter (where start_year < 1874 or start_year > 2031)
+    from titles_typed
+    union all
+    select 'genres_not_null', count(*) filter (where genres is null) from titles_typed
+    union all
+    select 'key_unique', sum(copies - 1)
+    from (select count(*) as copies from titles_typed group by tconst) per_key
+) found
+""",
+}
+
 ORACLE = {name: _sql(body) for name, body in {**_REPORTS, **_STEPS_AND_TABLES}.items()}
+ORACLE |= {name: f"with {_DAMAGED_STEPS} {body}" for name, body in _OF_DAMAGED.items()}

@@ -38,6 +38,7 @@ from playbill.sources import (
 from playbill.versions import Store
 from testbed.catalog_fixture import (
     AS_OF_YEAR,
+    damaged,
     raw_episodes,
     raw_frames,
     raw_ratings,
@@ -145,6 +146,38 @@ def catalog_by_genre(spark, sf_dir):
     return spark.table(f"{database}.titles_by_genre")
 
 
+def damaged_wide(spark, sf_dir):
+    raw = [damaged(spark, sf_dir, name) for name in ("titles", "ratings", "episodes")]
+    titles, ratings, episodes = raw
+    return cleaning.enrich(
+        cleaning.clean_titles(titles, AS_OF_YEAR),
+        cleaning.clean_ratings(ratings),
+        cleaning.clean_episodes(episodes),
+    )
+
+
+def damaged_rules(spark, sf_dir):
+    rows = cleaning.conform(cleaning.typed_titles(damaged(spark, sf_dir, "titles")))
+    return quality.quality_report(rows, quality.title_rules(AS_OF_YEAR))
+
+
+def partition_listing(spark, sf_dir):
+    """Files and bytes of the summary beside those of a listing of the folders."""
+    path = fresh_path(spark, "serving")
+    write_serving(enriched(spark, sf_dir), path)
+    found = partition_summary(read_serving(spark, path))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    listed = listed.groupBy(F.col("decade").alias("partition")).agg(
+        F.count(F.lit(1)).alias("listed"), F.sum("length").alias("listed_bytes")
+    )
+    return found.join(listed, "partition", "full").selectExpr(
+        "partition",
+        "rows",
+        "files <=> listed as files_match",
+        "bytes <=> listed_bytes as bytes_match",
+    )
+
+
 def lenient_int(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = F.col("l_extendedprice").cast("string")
@@ -357,6 +390,13 @@ STEPS = {
     "cln_titles": lambda spark, sf: cleaning.clean_titles(raw_titles(spark, sf), AS_OF_YEAR),
     "cln_ratings": lambda spark, sf: cleaning.clean_ratings(raw_ratings(spark, sf)),
     "cln_episodes": lambda spark, sf: cleaning.clean_episodes(raw_episodes(spark, sf)),
+    "cln_titles_keys": lambda spark, sf: cleaning.clean_titles(
+        damaged(spark, sf, "titles"), AS_OF_YEAR
+    ),
+    "cln_ratings_keys": lambda spark, sf: cleaning.clean_ratings(damaged(spark, sf, "ratings")),
+    "cln_episodes_keys": lambda spark, sf: cleaning.clean_episodes(damaged(spark, sf, "episodes")),
+    "cln_wide_keys": damaged_wide,
+    "dq_damaged_titles": damaged_rules,
     "cln_rename_cast": lambda spark, sf: cleaning.typed_titles(raw_titles(spark, sf)),
     "cln_lenient_int": lenient_int,
     "cln_key_prefix": lambda spark, sf: cleaning.require_key(
@@ -395,6 +435,7 @@ STEPS = {
     "prf_partition_files": lambda spark, sf: partition_summary(serving(spark, sf)).selectExpr(
         "partition", "rows", "files >= 1 as has_files", "bytes > 0 as has_bytes"
     ),
+    "prf_partition_listing": partition_listing,
     "dq_served": lambda spark, sf: quality.quality_report(
         serving(spark, sf), quality.title_rules(AS_OF_YEAR)
     ),
