@@ -27,18 +27,17 @@ def sketch_state(titles: DataFrame) -> DataFrame:
     """Per decade, type and year (0 = unknown): sketches of the ratings, keys and genres.
 
     ``titles`` are rows of the serving table. Null ratings and keys and the unknown genre are not
-    counted. One pass and one shuffle: a row is followed by one for each of its genres, and the
+    counted. One pass and one shuffle: a row is followed by one for each genre it names, and the
     sketches are made in the map tasks, so a type with a third of all rows is one row of each task.
     """
     nothing = F.lit(None).cast("string")
     rating = F.col("average_rating").cast("double")
     own = F.struct(rating.alias("rating"), F.col("tconst").alias("title"), nothing.alias("genre"))
+    named = F.coalesce(F.split("genres", V.GENRE_SEPARATOR), F.array().cast("array<string>"))
     genres = F.transform(
-        F.coalesce(F.split("genres", V.GENRE_SEPARATOR), F.array().cast("array<string>")),
+        F.filter(named, lambda g: g != V.UNKNOWN_GENRE),
         lambda g: F.struct(
-            F.lit(None).cast("double").alias("rating"),
-            nothing.alias("title"),
-            F.when(g != V.UNKNOWN_GENRE, g).alias("genre"),
+            F.lit(None).cast("double").alias("rating"), nothing.alias("title"), g.alias("genre")
         ),
     )
     seen = titles.select(

@@ -7,6 +7,8 @@ and year, by decade). Every load switches all of them at once.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from playbill.versions import Snapshot, Store, partition_values
 
 MIN_VOTES = 50000
 BOARD, RESERVE = 100, 100
+#: A batch of more keys is great: it is taken to touch all folders, and its keys are hashed.
+MANY_KEYS = 500_000
 _DECADE = T.StructField("decade", T.IntegerType())
 GENRES = T.StructType([*TITLES_BY_GENRE.fields, _DECADE])
 BOARD_ROWS = T.StructType(
@@ -63,14 +67,8 @@ def _stage_sketches(store, titles):
     return store.stage("sketches", states.sortWithinPartitions("decade", "title_type"), ("decade",))
 
 
-def _stage_marts(store, state, top, board):
-    """The marts that are small beside the titles: these are written whole."""
-    order = ("title_type", *changes.board_order())
-    return {
-        "rollup": store.stage("rollup", state),
-        "top_rated": store.stage("top_rated", top.orderBy(*order)),
-        "board": store.stage("board", board),
-    }
+def _stage_top(store, top):
+    return store.stage("top_rated", top.orderBy("title_type", *changes.board_order()))
 
 
 def publish(
@@ -91,10 +89,10 @@ def publish(
         return base
     folders = _stage_titles(store, serving_rows(wide), layout, bloom_columns)
     titles = store.read("titles", SERVING, folders=folders)
-    top = marts.top_rated(titles, min_votes)
-    made = _stage_marts(
-        store, marts.rollup_state(titles), top, changes.board_with_reserve(top, k, reserve)
-    )
+    made = {"rollup": store.stage("rollup", marts.rollup_state(titles))}
+    made["top_rated"] = _stage_top(store, marts.top_rated(titles, min_votes))
+    top = store.read("top_rated", TOP_RATED, folders=made["top_rated"])
+    made["board"] = store.stage("board", changes.board_with_reserve(top, k, reserve))
     made["by_genre"] = _stage_genres(store, _genre_rows(titles))
     made["sketches"] = _stage_sketches(store, titles)
     return store.commit(base, {"titles": folders, **made}, batch)
@@ -148,6 +146,21 @@ def _split(folders, touched):
     return tuple(inside), tuple(f for f in folders if f not in set(inside))
 
 
+def _for_lookup(keys, many):
+    """Keys that whole rows are held against. Those of a great batch go into one hash table for
+    each part, so that the rows are dealt out by key but not sorted by it."""
+    return keys.hint("shuffle_hash") if many else keys
+
+
+def _in_genre_folders(rows, touched):
+    """Title-genre rows of these (genre, decade) folders, whose names have texts."""
+    genres: dict[int, list[str]] = {}
+    for genre, decade in touched:
+        genres.setdefault(int(decade), []).append(genre or "")
+    own = [(F.col("decade") == d) & F.col("genre").isin(found) for d, found in genres.items()]
+    return rows.filter(reduce(or_, own, F.lit(False)))
+
+
 def apply_changes(
     spark: SparkSession,
     root: str,
@@ -163,7 +176,8 @@ def apply_changes(
     """Load new and changed wide rows, and take out the titles whose keys are ``removed``.
 
     Only the folders that hold an old or a new row of a real change are written again; the files
-    of all others stay. Keys that arrive twice in a batch count once, rows that equal the stored
+    of all others stay. Their old rows are found by key once; the marts of a touched folder are
+    made from its new files, without looking for a key again. Keys that arrive twice in a batch count once, rows that equal the stored
     ones not at all, and a batch whose name was applied before is ignored. Use the settings the
     store was published with.
     """
@@ -177,11 +191,15 @@ def apply_changes(
     arriving = changes.unique_changes(changed.select(ENRICHED.fieldNames()))
     arriving = _kept(serving_rows(arriving).select(SERVING.fieldNames()), "arriving")
     keys = _kept(changes.changed_keys(arriving, removed), "changed-keys")
-    # Two columns of all rows tell where the old rows are; whole rows come from there alone.
-    places = titles.select("tconst", "decade").join(keys, "tconst", "left_semi")
-    held, _ = _split(base.tables["titles"], _texts(places, "decade"))
-    stored = store.read("titles", SERVING, folders=held)
-    old = _kept(stored.join(keys, "tconst", "left_semi"), "old-rows")
+    many = keys.count() > MANY_KEYS
+    if many:  # they lie in most folders
+        stored = titles
+    else:
+        # Two columns of all rows tell where the old rows are; whole rows come from there alone.
+        places = titles.select("tconst", "decade").join(keys, "tconst", "left_semi")
+        held, _ = _split(base.tables["titles"], _texts(places, "decade"))
+        stored = store.read("titles", SERVING, folders=held)
+    old = _kept(stored.join(_for_lookup(keys, many), "tconst", "left_semi"), "old-rows")
     new, same = changes.real_changes(arriving, old)
     same = _kept(same, "equal-rows")
     new = _kept(new.select(SERVING.fieldNames()), "new-rows")
@@ -194,33 +212,39 @@ def apply_changes(
     if not touched:
         return store.commit(base, {}, batch)
     inside, others = _split(base.tables["titles"], touched)
-    rows = changes.with_changes(store.read("titles", SERVING, folders=inside), change.keys, new)
+    rows = store.read("titles", SERVING, folders=inside)
+    rows = changes.with_changes(rows, _for_lookup(change.keys, many), new)
     staged = _stage_titles(store, rows, layout, bloom_columns)
     tables = {"titles": others + staged}
+    remade = store.read("titles", SERVING, folders=staged)
     if "sketches" in base.tables:
         _, others = _split(base.tables["sketches"], touched)
-        remade = store.read("titles", SERVING, folders=staged)
+        states = _stage_sketches(store, remade)
     else:  # published before there were sketches
-        others, remade = (), store.read("titles", SERVING, folders=tables["titles"])
-    tables["sketches"] = others + _stage_sketches(store, remade)
+        others = ()
+        states = _stage_sketches(store, store.read("titles", SERVING, folders=tables["titles"]))
+    tables["sketches"] = others + states
 
     genres_old, genres_new = _genre_rows(change.old), _genre_rows(new)
-    touched = _texts(genres_old, "genre", "decade") | _texts(genres_new, "genre", "decade")
-    inside, others = _split(base.tables["by_genre"], touched)
-    kept = store.read("by_genre", GENRES, folders=inside)
-    kept = kept.withColumn("genre", F.coalesce("genre", F.lit("")))
-    rows = changes.with_changes(kept, change.keys, genres_new)
+    folders = _texts(genres_old, "genre", "decade") | _texts(genres_new, "genre", "decade")
+    _, others = _split(base.tables["by_genre"], folders)
+    rows = _in_genre_folders(_genre_rows(remade), folders)
     tables["by_genre"] = others + _stage_genres(store, rows)
 
-    top_new = marts.top_rated(new, min_votes)
-    top = changes.with_changes(store.read("top_rated", TOP_RATED, base), change.keys, top_new)
+    top = with_decade(store.read("top_rated", TOP_RATED, base))
+    top = top.filter(~F.col("decade").isin([int(d) for (d,) in touched])).drop("decade")
+    tables["top_rated"] = _stage_top(store, top.unionByName(marts.top_rated(remade, min_votes)))
+    top = store.read("top_rated", TOP_RATED, folders=tables["top_rated"])
     state = changes.rollup_with(
         store.read("rollup", ROLLUP_STATE, base), changes.rollup_delta(change)
     )
+    tables["rollup"] = store.stage("rollup", state)
     board, short = changes.board_after(
-        store.read("board", BOARD_ROWS, base), change, top_new, k, reserve
+        store.read("board", BOARD_ROWS, base), change, marts.top_rated(new, min_votes), k, reserve
     )
-    again = changes.board_with_reserve(top.join(short, "title_type", "left_semi"), k, reserve)
-    board = board.join(short, "title_type", "left_anti").unionByName(again)
-    tables |= _stage_marts(store, state, top, board)
+    # A join here would bring all rows of a type together; the types are few and mostly none.
+    if kinds := [r[0] for r in short.collect()]:
+        again = changes.board_with_reserve(top.filter(F.col("title_type").isin(kinds)), k, reserve)
+        board = board.filter(~F.col("title_type").isin(kinds)).unionByName(again)
+    tables["board"] = store.stage("board", board)
     return store.commit(base, tables, batch)

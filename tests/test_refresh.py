@@ -10,6 +10,7 @@ from test_storage import parquet_files, wide_rows
 
 from playbill.operators import changes, marts
 from playbill.operators.cleaning import conform
+from playbill.plans import refresh
 from playbill.plans.pipeline import load_serving, read_rollup
 from playbill.plans.refresh import apply_changes, publish, read_mart
 from playbill.schemas import ENRICHED, SERVING
@@ -155,6 +156,51 @@ def test_untouched_folders_keep_their_files(spark, tmp_path):
     assert set(read_serving(spark, root).inputFiles()) == after
 
 
+def test_marts_of_touched_folders_are_made_from_the_new_titles(spark, tmp_path):
+    rng = random.Random(33)
+    root = str(tmp_path / "store")
+    rows = {r[0]: r for r in made_titles(rng, range(120))}
+    publish(spark, root, wide_rows(spark, list(rows.values())), **SMALL)
+    # All rows of these genres change or have changed: nothing of their folders is looked up.
+    touched = [f for f in Store(spark, root).snapshot().tables["by_genre"]
+               if partition_values(f)[0] in ("Drama", "Comedy", None)]
+    for folder in touched:
+        for file in parquet_files(f"{root}/{folder}"):
+            os.truncate(file, 1)
+    every = [(k, *r[1:3], "Comedy,,Drama", *r[4:]) for k, r in rows.items()]
+    apply_changes(spark, root, wide_rows(spark, every), **SMALL)
+    check_against_whole_load(spark, root, every)
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_great_batches_equal_a_whole_load(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(refresh, "MANY_KEYS", most)
+    rng = random.Random(34)
+    root = str(tmp_path / "store")
+    rows = {r[0]: r for r in made_titles(rng, range(150))}
+    publish(spark, root, wide_rows(spark, list(rows.values())), **SMALL)
+    moved = {r[0]: r for r in made_titles(rng, range(100, 200))}
+    gone = [f"tt{i:04d}" for i in range(40)]
+    removed = spark.createDataFrame([(g,) for g in gone], "tconst string")
+    apply_changes(spark, root, wide_rows(spark, [*moved.values(), rows["tt0050"]]), removed, **SMALL)
+    check_against_whole_load(
+        spark, root, [r for k, r in (rows | moved).items() if k not in gone]
+    )
+
+
+def test_rows_held_against_a_great_batch_are_not_sorted(spark):
+    rows, keys = (spark.range(n).select(F.col("id").cast("string").alias("tconst")) for n in (999, 9))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for many in (True, False):
+            found = changes.with_changes(rows, refresh._for_lookup(keys, many), keys.limit(0))
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            assert ("ShuffledHashJoin" in plan) == many != ("SortMergeJoin" in plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_batch_is_applied_once(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = [("tt1", "movie", 1990, "A", 5.0, 500), ("tt2", "movie", 1990, "A", 6.0, 500)]
