@@ -17,12 +17,14 @@ from conftest import (
 from pyspark.sql import functions as F
 
 from playbill import fixed_values as V
+from playbill import session
 from playbill.__main__ import show_rows
 from playbill.operators import marts
 from playbill.operators.cleaning import conform
 from playbill.plans.pipeline import build_lake, counted, load_serving, read_rollup
 from playbill.schemas import ENRICHED, RAW_EPISODES, RAW_RATINGS, RAW_TITLES
 from playbill.session import clear_intermediates, fresh_path, shared_folder, size_shuffles
+from playbill.sinks.folders import serving_layout, serving_rows
 from playbill.sinks import (
     ensure_tables,
     load_table,
@@ -42,6 +44,7 @@ from playbill.sources import (
     read_serving,
     years_between,
 )
+from playbill.versions import Store
 
 
 def tsv(schema, rows):
@@ -244,6 +247,46 @@ def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     assert read_lake(spark, path).count() == 60000
 
 
+@pytest.mark.parametrize("how", ["folder", "store", "table"])
+def test_tasks_of_a_write_are_bounded(spark, tmp_path, monkeypatch, how):
+    """Whatever sizes the session has; its own settings are back afterwards, and smaller ones stay."""
+    sizes = {
+        "spark.sql.files.maxPartitionBytes": 128 * 1024,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": 256 * 1024,
+    }
+    monkeypatch.setattr(session, "TASK_BYTES", sizes, raising=False)
+    before = {name: spark.conf.get(name) for name in sizes}
+    title = F.sha2(F.col("id").cast("string"), 256)
+    key = F.concat(F.lit("tt"), F.col("id")).alias("tconst")
+    rows = spark.range(0, 60000, 1, 8).select(
+        key, F.lit("tvEpisode").alias("title_type"), F.lit(1999).alias("start_year"),
+        title.alias("primary_title"),
+    )
+    conform(rows).coalesce(1).write.option("parquet.block.size", 256 * 1024).parquet(str(tmp_path / "in"))
+    rows = spark.read.schema(ENRICHED).parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "out")
+    if how == "folder":
+        write_lake(rows, path)
+    elif how == "store":
+        Store(spark, path).stage("titles", serving_layout(serving_rows(rows)), ("decade",))
+    else:
+        ensure_tables(spark, "bounded_db", path)
+        load_titles(rows, "bounded_db.titles_enriched")
+        files = spark.table("bounded_db.titles_enriched").inputFiles()
+        spark.sql("DROP DATABASE bounded_db CASCADE")
+    assert {name: spark.conf.get(name) for name in sizes} == before
+    assert len(files if how == "table" else parquet_files(path)) > 3
+    with session.bounded_tasks(spark):
+        assert {name: spark.conf.get(name) for name in sizes} == {n: str(x) for n, x in sizes.items()}
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(name, "64k")
+    try:
+        with session.bounded_tasks(spark):
+            assert spark.conf.get(name) == "64k"
+    finally:
+        spark.conf.set(name, before[name])
+
+
 def test_partition_summary_matches_the_files(spark, tmp_path):
     rows = [(f"tt{i}", "movie", 1980 + i % 40, "A", 5.0, i) for i in range(200)]
     path = str(tmp_path / "serving")
