@@ -15,6 +15,7 @@ from playbill.functions import lenient_float, lenient_int
 from playbill.operators import cleaning as C
 from playbill.plans.pipeline import counted, wide_table
 from playbill.schemas import ENRICHED, RAW_RATINGS, RAW_TITLES
+from testbed.registered import damaged_wide
 
 
 def by_key(df):
@@ -204,6 +205,32 @@ def test_counting_rows_does_not_add_a_shuffle(spark, titles_raw, ratings_raw, ep
     assert plan.count("Exchange") == 3 and plan.count("CollectMetrics") == 3
 
 
+def test_rows_with_missing_and_foreign_keys_are_joined_without_a_further_shuffle(spark, tmp_path):
+    """cln_wide_keys: keys that end in 3 are missing, those in 7 foreign; copies and no genre."""
+    tables = {
+        "part": "select cast(id as bigint) p_partkey, 'a b' p_name, 'B' p_brand, 'SMALL' p_type, 4 p_size,"
+        " cast(7.5 as double) p_retailprice from range(1, 9)",
+        "supplier": "select cast(id as bigint) s_suppkey, 'S' s_name, 1 s_nationkey from range(1, 4)",
+        "lineitem": "select cast(id % 5 as bigint) l_orderkey, cast(id as bigint) l_partkey, cast(1 as bigint) l_suppkey,"
+        " cast(id % 5 as int) l_linenumber, cast(9 as double) l_quantity, timestamp'1995-01-01' l_shipdate"
+        " from range(0, 10)",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = damaged_wide(spark, str(tmp_path))
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        keys = sorted(r["tconst"] for r in wide.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange") == 3 and wide.columns == ENRICHED.fieldNames()
+    made = [f"tt1{i:09d}" for i in range(1, 9)] + [f"tt2{i:09d}" for i in range(1, 4)]
+    made += [f"tt3{i:09d}{i}" for i in range(5)]
+    assert keys == sorted(k for k in made if k[-1] not in "37")
+
+
 def test_hash_is_kept_on_request_only(ratings_raw):
     assert C.clean_ratings(ratings_raw).columns == ["tconst", "average_rating", "num_votes"]
     assert C.clean_ratings(ratings_raw, keep_hash=True).columns[0] == C.KEY_HASH
