@@ -15,7 +15,7 @@ from playbill.plans.pipeline import load_serving, read_rollup
 from playbill.plans.refresh import apply_changes, publish, read_mart
 from playbill.schemas import ENRICHED, SERVING
 from playbill.sinks import write_lake, write_serving
-from playbill.sinks.folders import interleaved, serving_rows
+from playbill.sinks.folders import interleaved, ranking_layout, ranking_order, serving_rows
 from playbill.sources import read_lake, read_serving
 from playbill.versions import LoadConflict, Store, partition_values
 
@@ -273,6 +273,27 @@ def ranked_rows(spark, count):
     ))
 
 
+def test_the_ranking_layout_sorts_by_a_computed_column(spark, tmp_path):
+    """An expression among the sort's keys is computed for both rows of each comparison."""
+    rows = serving_rows(ranked_rows(spark, 2_000)).withColumn(
+        "average_rating", F.when(F.col("num_votes") % 3 > 0, F.col("average_rating"))
+    )
+    layout = ranking_layout(rows)
+    assert layout.columns == rows.columns
+    plan = layout._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "shift" not in sorts[0]
+
+    write_serving(rows, str(tmp_path / "ranked"), layout="ranking")
+    files = parquet_files(tmp_path / "ranked")
+    assert files
+    for file in files:
+        assert "_place" not in pq.ParquetFile(file).schema_arrow.names
+        place = [ranking_order().alias("place"), "title_type", "tconst"]
+        found = [tuple(r) for r in spark.read.parquet(str(file)).coalesce(1).select(place).collect()]
+        assert found == sorted(found)
+
+
 def rows_to_read(path, column, least):
     """Rows in row groups that may hold a value of at least ``least``, by their statistics."""
     total = 0
