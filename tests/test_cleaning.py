@@ -234,3 +234,19 @@ def test_rows_with_missing_and_foreign_keys_are_joined_without_a_further_shuffle
 def test_hash_is_kept_on_request_only(ratings_raw):
     assert C.clean_ratings(ratings_raw).columns == ["tconst", "average_rating", "num_votes"]
     assert C.clean_ratings(ratings_raw, keep_hash=True).columns[0] == C.KEY_HASH
+
+
+def test_tested_columns_are_computed_once(titles_raw, ratings_raw):
+    for cleaned in (C.clean_titles(titles_raw, AS_OF_YEAR), C.clean_ratings(ratings_raw)):
+        plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if "Filter" in line]
+        assert filters and not any("cast(" in line for line in filters)
+
+
+def test_computing_columns_once_keeps_rows_names_and_types(spark):
+    rows = [("tt1", "5.0", "9"), (None, None, None), ("tt1", "5.0", "9"), ("tt2", "x", "2.5")]
+    typed = C.typed_ratings(spark.createDataFrame(rows, RAW_RATINGS))
+    once = C.computed_once(typed)
+    assert once.schema == typed.schema
+    assert sorted(map(str, once.collect())) == sorted(map(str, typed.collect()))
+    assert C.computed_once(typed.limit(0)).count() == 0
