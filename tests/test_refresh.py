@@ -18,6 +18,7 @@ from playbill.sinks import write_lake, write_serving
 from playbill.sinks.folders import interleaved, ranking_layout, ranking_order, serving_rows
 from playbill.sources import read_lake, read_serving
 from playbill.versions import LoadConflict, Store, partition_values
+from testbed.stored import changed_titles
 
 GENRES = ["Drama", "Crime,Drama", "Comedy", "Drama,,Crime", "A/B%c", None, "Sci-Fi,Sci-Fi"]
 SMALL = {"min_votes": 300, "k": 3, "reserve": 2}
@@ -356,3 +357,24 @@ def test_the_ranking_layout_skips_rows_by_votes_and_by_rating(spark, tmp_path):
     finally:
         spark.conf.set(name, before)
         spark.conf.unset("parquet.filter.bloom.enabled")
+
+
+def test_a_batch_of_doubled_votes_that_the_column_does_not_hold(spark, tmp_path):
+    root = str(tmp_path / "store")
+    votes = {"tt2000000040": 2**30 - 1, "tt2000000080": 2**30, "tt2000000120": 1_800_000_000,
+             "tt2000000160": None, "tt2000000161": 1_800_000_000, "tt2000000007": 5}
+    titles = wide_rows(spark, [(k, "tvSeries", 1990, "Drama", 5.0, v) for k, v in votes.items()])
+    publish(spark, root, titles)
+    apply_changes(spark, root, *changed_titles(titles))
+    found = {r.tconst: (r.start_year, r.num_votes) for r in read_serving(spark, root).collect()}
+    assert found == {
+        "tt2000000040": (2000, 2**31 - 2),
+        "tt2000000080": (2000, None),
+        "tt2000000120": (2000, None),
+        "tt2000000160": (2000, None),
+        "tt2000000161": (1990, 1_800_000_000),
+    }
+    top = {r.tconst for r in read_mart(spark, root, "top_rated").collect()}
+    assert top == {"tt2000000040", "tt2000000161"}
+    rollup = {r.start_year: r.total_votes for r in read_mart(spark, root, "rollup").collect()}
+    assert rollup == {1990: 1_800_000_000, 2000: 2**31 - 2}
