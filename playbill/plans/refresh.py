@@ -24,7 +24,7 @@ from playbill.schemas import (
     TITLES_BY_GENRE,
     TOP_RATED,
 )
-from playbill.session import fresh_path
+from playbill.session import fresh_path, released_shuffles
 from playbill.sinks.folders import LAYOUTS, bloom_options, serving_rows, with_decade
 from playbill.sources.tables import years_between
 from playbill.versions import Snapshot, Store, partition_values
@@ -43,7 +43,8 @@ BOARD_ROWS = T.StructType(
 def _kept(df: DataFrame, label: str) -> DataFrame:
     """Write a small table of a job to the shared folder and read it again."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with released_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -137,7 +138,8 @@ def read_summary(
 def _texts(rows: DataFrame, *columns: str) -> set[tuple[str | None, ...]]:
     """The partition values of rows, as folders' names give them; as many as folders at most."""
     texts = [F.when(F.col(c).cast("string") != "", F.col(c).cast("string")) for c in columns]
-    return {tuple(r) for r in rows.select(*texts).distinct().collect()}
+    with released_shuffles(rows.sparkSession):
+        return {tuple(r) for r in rows.select(*texts).distinct().collect()}
 
 
 def _split(folders, touched):
